@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,3 +137,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         before = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+FILTER_BITS = 1 << 23
+
+
+def id_filter(ids: DataFrame, column: str, bits: int = FILTER_BITS):
+    """A predicate Column maker for long ids, from a bitmap of fixed size: true for every id in `ids`, and for few others.
+
+    It only spares later joins rows; where it fills up, it lets more through and results stay the same.
+    """
+    slot = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(bits))
+    rows = ids.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect()
+    whole = np.zeros(bits // 8 + 8192, np.uint8)
+    for r in rows:  # bucket 1 holds the values 1 to 32768; bucket 0 only the value 0
+        at = 4096 * r["b"]
+        whole[at : at + 4096] = np.frombuffer(r["m"], np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(whole.tobytes())
+
+    @F.pandas_udf("boolean")
+    def hit(bucket: pd.Series, position: pd.Series) -> pd.Series:
+        held = np.frombuffer(shared.value, np.uint8)
+        b, p = bucket.to_numpy().astype(np.int64), position.to_numpy().astype(np.int64)
+        return pd.Series((held[4096 * b + p // 8] >> (p % 8).astype(np.uint8) & 1).astype(bool))
+
+    def test(name: str) -> Column:
+        s = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(bits))
+        return hit(F.bitmap_bucket_number(s), F.bitmap_bit_position(s))
+
+    return test

@@ -1,8 +1,10 @@
 """Queries of this subpackage and, where SQL can express them, their SQL."""
 
 from .chat import OP9_SQL, op9_chat_formatting
+from .fingerprints import op5_document_fingerprints
 from .lines import OP8_SQL, op8_line_dedup
+from .packing import op6_best_fit_packing
 from .urls import op10_url_filter
 
-QUERIES = {"op8_line_dedup": op8_line_dedup, "op9_chat_formatting": op9_chat_formatting, "op10_url_filter": op10_url_filter}
+QUERIES = {"op5_document_fingerprints": op5_document_fingerprints, "op6_best_fit_packing": op6_best_fit_packing, "op8_line_dedup": op8_line_dedup, "op9_chat_formatting": op9_chat_formatting, "op10_url_filter": op10_url_filter}
 ORACLE_SQL = {"op8_line_dedup": OP8_SQL, "op9_chat_formatting": OP9_SQL}
