@@ -49,24 +49,27 @@ def reply_paths(messages: DataFrame, k: int = 1) -> DataFrame:
     m = m.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("parent"), "score")
     # up: the ancestor 2**i steps above, None past the root; far: steps so far; total: scores from the node up to just below `up`
     level = cut(m.select("tree", "node", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("far"), F.col("score").alias("total")))
-    levels, before = [level], None
+    levels, before, done = [level], None, level.where("up is null")
     while True:
         n, left = level.agg(F.count("*"), F.count("up")).first()
         if not left or (left == before and 2 ** len(levels) > n):  # the rest stands on cycles
             break
         before = left
-        above = level.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("far").alias("far2"), F.col("total").alias("total2"))
-        level = cut(level.join(above, ["tree", "up"], "left").select("tree", "node", F.col("up2").alias("up"), (F.col("far") + F.coalesce("far2", F.lit(0))).alias("far"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")))
+        # only nodes that haven't met their root go on; they look up both those and the ones that have
+        rows = level.where("up is not null")
+        above = rows.unionAll(done).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("far").alias("far2"), F.col("total").alias("total2"))
+        level = cut(rows.join(above, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("far") + F.col("far2")).alias("far"), (F.col("total") + F.col("total2")).alias("total")))
+        done = done.unionAll(level.where("up is null"))
         levels.append(level)
     parents = m.where("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
-    leaves = level.where("up is null").join(parents, ["tree", "node"], "left_anti")
+    leaves = done.join(parents, ["tree", "node"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / (F.col("far") + 1)), "node")
     chosen = leaves.withColumn("path", F.row_number().over(best)).where(F.col("path") <= k)
     nodes = chosen.select("tree", "path", "node")
     for jump in reversed(levels):
         both = nodes.join(jump.where("up is not null").select("tree", "node", "up"), ["tree", "node"], "left")
         nodes = both.select("tree", "path", F.explode(F.array_compact(F.array("node", "up"))).alias("node"))
-    return nodes.distinct().join(level.select("tree", "node", F.col("far").alias("depth")), ["tree", "node"]).select("tree", "path", "depth", "node")
+    return nodes.distinct().join(done.select("tree", "node", F.col("far").alias("depth")), ["tree", "node"]).select("tree", "path", "depth", "node")
 
 
 def format_turns(messages: DataFrame, paths: DataFrame) -> DataFrame:

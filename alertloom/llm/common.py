@@ -16,6 +16,20 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this package, wherever they start."""
+    import shutil
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if getattr(sc, "_alertloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    to = tempfile.mkdtemp(prefix="package-")
+    sc.addPyFile(shutil.make_archive(f"{to}/alertloom", "zip", root, "alertloom"))
+    sc._alertloom_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
