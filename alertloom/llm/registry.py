@@ -8,6 +8,7 @@ from .fingerprints import op5_document_fingerprints
 from .lines import OP8_SQL, op8_line_dedup
 from .packing import op6_best_fit_packing
 from .pieces import op4_sentencepiece
+from .similar import op3_ngram_jaccard
 from .substrings import OP7_SQL, op7_substring_dedup
 from .topk import OP2_SQL, op2_exact_topk
 from .toxicity import op1_toxicity
@@ -27,6 +28,7 @@ def _shipped(query):
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_topk": op2_exact_topk,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_best_fit_packing": op6_best_fit_packing,
