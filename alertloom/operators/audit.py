@@ -98,9 +98,10 @@ def closure_report(alerts: DataFrame) -> DataFrame:
 def balance(alerts: DataFrame, plan: DataFrame, tolerance: int = 0) -> DataFrame:
     """(disposition_code, planned, emitted, delta, ok) for every code planned or emitted; a code that wasn't planned is never ok."""
     got = alerts.groupBy("disposition_code").agg(F.count("*").alias("emitted"))
-    both = plan.select(F.col("code").alias("disposition_code"), F.col("quota").cast("long").alias("planned")).join(got, "disposition_code", "full_outer")
+    both = plan.select(F.col("code").alias("disposition_code"), F.col("quota").cast("long").alias("planned"), F.lit(True).alias("_in")).join(got, "disposition_code", "full_outer")
     n = F.coalesce("emitted", F.lit(0))
-    return both.select("disposition_code", "planned", n.alias("emitted"), (n - F.coalesce("planned", F.lit(0))).alias("delta"), (F.col("planned").isNotNull() & (F.abs(n - F.coalesce("planned", F.lit(0))) <= tolerance)).alias("ok")).orderBy("disposition_code")
+    want = F.coalesce("planned", F.lit(0))
+    return both.select("disposition_code", want.alias("planned"), n.alias("emitted"), (n - want).alias("delta"), (F.col("_in").isNotNull() & (F.abs(n - want) <= tolerance)).alias("ok")).orderBy("disposition_code")
 
 
 def integrity(alerts: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions import vocab as v
 from ..functions.strings import ABSENT, SEED, compose, decision_of, joined, label_of, last, middle, pick, pick_from, tokens, trimmed_lower, walk_middle, walk_note
 from ..operators.audit import pair_problem
 from ..operators.mutate import candidates
+from ..sources.scratch import cut
 
 #: Candidates drawn for each record of a quota before pairs are made unique.
 SPARE = 4
@@ -97,7 +98,7 @@ def legacy_pairs(names: DataFrame, decision: str, attempts: int = 4, double_afte
     last_step = "DISP_SURNAME_CONFLICT" if fp else "DISP_MINOR_TYPO"
     menu = ["DISP_SURNAME_CONFLICT", "DISP_MIDDLE_NAME_CONFLICT", "DISP_PHONETIC_SURNAME_DIVERGENCE"] if fp else ["DISP_MINOR_TYPO", "DISP_TOKEN_ORDER_SWAP", "MIDDLE", "DISP_TRANSLITERATION_VARIANT", "DISP_DIACRITIC_STRIPPED", "DISP_COMPOUND_NAME_RESTRUCTURED", "DISP_MIDDLE_NAME_OMITTED"]
     fallback = {"DISP_TRANSLITERATION_VARIANT": "DISP_MINOR_TYPO", "DISP_DIACRITIC_STRIPPED": "DISP_MINOR_TYPO", "DISP_COMPOUND_NAME_RESTRUCTURED": "DISP_TOKEN_ORDER_SWAP"}
-    clients = names.select("client_name").distinct()
+    clients = cut(names.select("client_name").distinct())
     tries = clients.select("client_name", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("attempt"))
     key = F.concat_ws("|", "client_name", F.col("attempt").cast("string"))
     tries = tries.withColumn("wanted", pick_from(menu, key, f"menu/{decision}", seed))
@@ -123,6 +124,7 @@ def legacy_pairs(names: DataFrame, decision: str, attempts: int = 4, double_afte
     first = parts[0]
     for p in parts[1:]:
         first = first.unionByName(p)
+    first = cut(first)
     twice = first.where(F.col("attempt") >= double_after)
     again = one_each(twice.select(F.col("hit_name").alias("client_name"), "attempt").distinct(), last_step)
     again = twice.select("client_name", "attempt", F.col("hit_name").alias("between")).join(again.select(F.col("client_name").alias("between"), "attempt", "hit_name", "matching_text"), ["between", "attempt"])
@@ -131,6 +133,7 @@ def legacy_pairs(names: DataFrame, decision: str, attempts: int = 4, double_afte
     said = compose(F.col("client_name"), F.col("hit_name"), given, mid, surname, pick_from(v.WORDING[boundary], key, boundary, seed), pick_from(v.WORDING[principle], key, principle, seed), F.lit(last_step), F.lit(decision))
     again = again.select(F.lit(last_step).alias("code"), "client_name", "attempt", "hit_name", "matching_text", said.alias("thinking"))
     whole = first.where(F.col("attempt") < double_after).select("code", "client_name", "attempt", "hit_name", "matching_text", "thinking").unionByName(again)
+    whole = cut(whole)
     same = trimmed_lower(F.col("client_name")) == trimmed_lower(F.col("hit_name"))
     instead = one_each(whole.where(same).select("client_name", "attempt"), last_step)
     return whole.where(~same).unionByName(instead.select(*whole.columns))

@@ -13,6 +13,7 @@ from ..operators import audit, capability
 from ..operators.review import or_fallback
 from ..sources.model import Chat, answers
 from ..sources.names import load_names, write_alerts
+from ..sources.scratch import cut
 from . import assign, quotas
 from .quotas import Options
 
@@ -23,9 +24,9 @@ def balanced(names: DataFrame, plan: DataFrame, alpha: float = 1.0, chat: Chat |
     wanted = {r["code"]: r["quota"] for r in plan.collect() if r["quota"] > 0}  # a row per code
     if not wanted:
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in v.OUTPUT))
-    pool = capability.pools(spark, names, wanted, seed=seed)
-    pairs = assign.unique_pairs(assign.all_candidates(pool, wanted, seed), wanted, seed)
-    filled = assign.fill(pairs, plan)
+    pool = cut(capability.pools(spark, names, wanted, seed=seed))
+    found = cut(assign.all_candidates(pool, wanted, seed))
+    filled = cut(assign.fill(assign.unique_pairs(found, wanted, seed), plan))
     if not allow_short and (missing := assign.shortfall(filled, plan)):
         raise RuntimeError(f"quotas can't be filled: {', '.join(missing)}")
     if chat is None:
