@@ -204,7 +204,10 @@ def _repeats(t: pa.Table) -> pa.Table:
 
 
 def repeat_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(rows, gone): rows are docs with _id and tag; gone has for each (_id, tag) the runs of window starts that a smaller document holds."""
+    """(rows, gone): rows are docs with _id and tag; gone has for each _id the runs (tag, start, len) of window starts that a smaller document holds.
+
+    Texts are joined twice by _id alone, so that one exchange of them serves both joins.
+    """
     if window < STEP:
         raise ValueError(f"a window has at least {STEP} words")
     shares = 4 * parts(docs.sparkSession)
@@ -214,7 +217,13 @@ def repeat_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataF
     held = filed.groupBy("p").applyInArrow(_shared, HELD).groupBy("_id").agg(F.collect_list("anchor").alias("held"))
     nodes = texts.join(held, "_id", "left").select("_id", "tag", "text", "held").mapInArrow(_suffixes(window, shares), NODES)
     gone = nodes.groupBy("p").applyInArrow(_repeats, GONE)
-    return rows, gone.groupBy("_id", "tag").agg(F.collect_list(F.struct("start", "len")).alias("gone"))
+    return rows, gone.groupBy("_id").agg(F.collect_list(F.struct("tag", "start", "len")).alias("gone"))
+
+
+def _own(gone: str = "gone") -> F.Column:
+    """The runs of a row's own text; null if there are none."""
+    runs = F.filter(gone, lambda r: r["tag"] == F.col("tag"))
+    return F.when(F.size(runs) > 0, runs)
 
 
 def kept_words(words: list, gone: list | None, window: int) -> list:
@@ -245,7 +254,7 @@ def _digests(window: int):
 
 def substring_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows, gone = repeat_runs(docs, window)
-    found = rows.select("_id", "tag", "text").join(gone, ["_id", "tag"], "left").select("_id", "text", "gone")
+    found = rows.select("_id", "tag", "text").join(gone, "_id", "left").select("_id", "text", _own().alias("gone"))
     return found.mapInArrow(_digests(window), "_id long, n_words long, n_removed long, kept_sha256 string").select(id_back("_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
@@ -259,7 +268,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     inner = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # own names, so that none of docs can clash
     at = {c: F.col(f"c{k}") for k, c in enumerate(docs.columns)}
     rows, gone = repeat_runs(inner.withColumns({"doc_id": at["doc_id"], "text": at["text"]}), window)
-    rows = rows.join(gone, ["_id", "tag"], "left")
+    rows = rows.join(gone, "_id", "left").withColumn("gone", _own())
     same = rows.where("gone is null").withColumn("left", F.col("text"))
     less = rows.where("gone is not null").withColumn("left", rest("text", "gone"))
     got = same.unionByName(less)
