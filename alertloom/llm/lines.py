@@ -78,8 +78,14 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with the kept text and its n_chars, all columns of docs."""
-    got = with_keep(docs, min_chars).withColumn("text", kept_text())
-    return (got.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else got).select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # own names, so that none of docs can clash
+    at = {c: F.col(f"c{k}") for k, c in enumerate(docs.columns)}
+    got = with_keep(inner.withColumns({"doc_id": at["doc_id"], "text": at["text"]}), min_chars)
+    same = F.col("_n_dropped") == 0
+    new = {"text": F.when(same, at["text"]).otherwise(kept_text())}
+    if "n_chars" in at:
+        new["n_chars"] = F.when(same, at["n_chars"]).otherwise(F.length(kept_text()).cast("long"))
+    return got.select(*[new.get(c, at[c]).alias(c) for c in docs.columns])
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
