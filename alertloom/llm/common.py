@@ -86,25 +86,6 @@ def mix(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(32))
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash; emptied when it holds `limit` words, which changes no value."""
-
-    def __init__(self, limit: int = 200_000):
-        super().__init__()
-        import xxhash
-
-        self.of, self.limit = xxhash.xxh3_64_intdigest, limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = self.of(word)
-        return h
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def runs_of(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """64-bit hashes of every run of n consecutive entries, by doubling; empty if there are fewer than n."""
     if len(hashes) < n:

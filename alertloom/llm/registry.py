@@ -8,7 +8,7 @@ from .fingerprints import op5_document_fingerprints
 from .lines import OP8_SQL, op8_line_dedup
 from .packing import op6_best_fit_packing
 from .pieces import op4_sentencepiece
-from .similar import op3_ngram_jaccard
+from .similar import OP3_SQL, op3_ngram_jaccard
 from .substrings import OP7_SQL, op7_substring_dedup
 from .topk import OP2_SQL, op2_exact_topk
 from .toxicity import op1_toxicity
@@ -38,4 +38,4 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
-ORACLE_SQL = {"op7_substring_dedup": OP7_SQL, "op2_exact_topk": OP2_SQL, "op8_line_dedup": OP8_SQL, "op9_chat_formatting": OP9_SQL}
+ORACLE_SQL = {"op3_ngram_jaccard": OP3_SQL, "op7_substring_dedup": OP7_SQL, "op2_exact_topk": OP2_SQL, "op8_line_dedup": OP8_SQL, "op9_chat_formatting": OP9_SQL}

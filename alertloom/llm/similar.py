@@ -1,6 +1,6 @@
 """N-gram Jaccard join: a prefix-tree join over globally ordered shingle sets.
 
-1. One pass counts shingles into a sketch of fixed size (SLOTS counters, summed over all documents). Its
+1. One pass counts shingles into a sketch of fixed size (2**SLOT_BITS counters, summed over all documents). Its
    counts, then the hash, give one global order in which what many documents share stands last.
 2. Two sets as alike as the threshold share a shingle among the first n - ceil(t n) + 1 of each. These
    prefixes are filed by shingle; shingles that two documents file make candidate groups.
@@ -35,7 +35,9 @@ from .common import components, cut, id_back, id_column, id_filter, mix, parts,
 from .substrings import _batch, _dealt, _flat, _raw
 from .words import Slice, pack_longs, slices, unpack_longs
 
-SLOT_BITS, CHUNKS = 20, 64
+SLOT_BITS, CHUNKS, MOST = 22, 64, 65535
+#: Bits of a sort key that hold a document's number in its slice, and the capped count of a shingle.
+DOC_BITS, COUNT_BITS = 20, 16
 PORTION, WALKS = 512, 8
 COUNTED = "_id long, n long, chunk int, counts binary"
 FILED = "p int, a long, b long, shingles binary, ids binary, sizes binary"
@@ -49,24 +51,36 @@ def shingle_sets(s: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
     ok = s.whole(width)
     h, doc = runs_of(s.hashes, width)[: len(ok)][ok], s.doc[: len(ok)][ok]
     short = np.flatnonzero((s.counts > 0) & (s.counts < width))
-    lone = np.array([xxhash.xxh3_64_intdigest(b" ".join(s.words[k]), seed=width) for k in short], np.uint64)
+    lone = np.array([xxhash.xxh3_64_intdigest(s.hashes[s.first[k] : s.first[k] + s.counts[k]].tobytes(), seed=width) for k in short], np.uint64)
     h, doc = np.concatenate([h, lone]), np.concatenate([doc, short])
-    order = np.lexsort((h, doc))
+    order = np.argsort(_key(doc, h >> np.uint64(DOC_BITS)))
     h, doc = h[order], doc[order]
+    same = np.flatnonzero((h[1:] >> np.uint64(DOC_BITS) == h[:-1] >> np.uint64(DOC_BITS)) & (h[1:] < h[:-1]) & (doc[1:] == doc[:-1]))
+    if len(same):  # equal in all bits that the key has: order the last ones too
+        order = np.lexsort((h, doc))
+        h, doc = h[order], doc[order]
     new = np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))[: len(h)]
     return doc[new], h[new]
 
 
+def _key(doc: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """One 64-bit sort key: a document's number above the 64 - DOC_BITS lower bits of rest."""
+    if len(doc) and int(doc[-1]) >> DOC_BITS:
+        raise ValueError(f"a slice holds more than {1 << DOC_BITS} documents")
+    return doc.astype(np.uint64) << np.uint64(64 - DOC_BITS) | rest
+
+
 def _slot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def _count(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        counts = np.zeros(1 << SLOT_BITS, np.uint32)
         for s, _ in slices(batches, True):
             doc, h = shingle_sets(s, width)
-            counts += np.bincount(_slot(h), minlength=len(counts))
+            slot, many = np.unique(_slot(h), return_counts=True)
+            counts[slot] += many.astype(np.uint32)
             sizes = np.bincount(doc, minlength=len(s.ids))
             yield _batch([(i, n, None, None) for i, n in zip(s.ids.tolist(), sizes.tolist(), strict=True)], COUNTED)
         if counts.any():
@@ -77,12 +91,12 @@ def _count(width: int):
 
 def _sum_counts(t: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(zlib.decompress(c), "<u4").astype(np.int64) for c in t.column("counts").to_pylist())
-    return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()], pa.int32()), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+    return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()], pa.int32()), "counts": pa.array([np.minimum(total, MOST).astype("<u2").tobytes()], pa.binary())})
 
 
 def _ordered(doc: np.ndarray, h: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The order of a slice's shingles by document, then globally: what fewer documents hold first."""
-    return np.lexsort((h, counts[_slot(h)], doc))
+    """The order of a slice's shingles (sorted by document and hash) by document, then globally: what fewer documents hold first, then by hash."""
+    return np.argsort(_key(doc, counts[_slot(h)].astype(np.uint64) << np.uint64(64 - DOC_BITS - COUNT_BITS)), kind="stable")
 
 
 def _file(width: int, num: int, den: int, shares: int, sketch):
@@ -113,8 +127,11 @@ def _file(width: int, num: int, den: int, shares: int, sketch):
     return run
 
 
-def _groups(t: pa.Table) -> pa.Table:
-    """Candidate groups of a share: documents that file one shingle, each list of documents once; and the links of equal sets."""
+def _groups(t: pa.Table, num: int, den: int) -> pa.Table:
+    """Candidate groups of a share: documents that file one shingle, each list of documents once; and the links of equal sets.
+
+    By size, a group falls apart where neighbours are too unlike for the threshold; lone documents leave.
+    """
     rows = [x for x in zip(*(t.column(c).to_pylist() for c in ("a", "b", "shingles", "ids", "sizes")), strict=True)]
     links = np.array([x[:2] for x in rows if x[0] is not None], np.int64).reshape(-1, 2)
     g = i = n = np.empty(0, np.int64)
@@ -122,11 +139,12 @@ def _groups(t: pa.Table) -> pa.Table:
     if rows:
         h = np.concatenate([np.frombuffer(x[2], "<u8") for x in rows])
         ids, sizes = np.concatenate([unpack_longs(x[3]) for x in rows]), np.concatenate([np.frombuffer(x[4], "<u4") for x in rows])
-        order = np.lexsort((sizes, ids, h))
+        order = np.lexsort((ids, sizes, h))
         h, ids, sizes = h[order], ids[order], sizes[order]
         new = np.append(True, (h[1:] != h[:-1]) | (ids[1:] != ids[:-1]) | (sizes[1:] != sizes[:-1]))
         h, ids, sizes = h[new], ids[new], sizes[new]
-        head = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        n64 = sizes.astype(np.int64)
+        head = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (num * n64[1:] > den * n64[:-1])))
         size = np.diff(np.append(head, len(h)))
         many = np.repeat(size > 1, size)
         if many.any():
@@ -272,18 +290,17 @@ def similar_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     shares = parts(spark)
     texts = docs.select(id_column("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
     counted = cut(texts.mapInArrow(_count(width), COUNTED))
-    counts = np.zeros((CHUNKS, (1 << SLOT_BITS) // CHUNKS), np.int64)
+    counts = np.zeros((CHUNKS, (1 << SLOT_BITS) // CHUNKS), np.uint16)
     for r in counted.where("chunk is not null").groupBy("chunk").applyInArrow(_sum_counts, "chunk int, counts binary").collect():  # CHUNKS rows, of fixed size
-        counts[r["chunk"]] = np.frombuffer(r["counts"], "<i8")
+        counts[r["chunk"]] = np.frombuffer(r["counts"], "<u2")
     sketch = spark.sparkContext.broadcast(counts.ravel())
     filed = texts.mapInArrow(_file(width, num, den, shares, sketch), FILED)
-    found = cut(filed.withColumn("p", F.when(F.col("p") < 0, F.pmod(F.col("b"), F.lit(shares)).cast("int")).otherwise(F.col("p"))).groupBy("p").applyInArrow(_groups, GROUPS))
+    found = cut(filed.withColumn("p", F.when(F.col("p") < 0, F.pmod(F.col("b"), F.lit(shares)).cast("int")).otherwise(F.col("p"))).groupBy("p").applyInArrow(lambda t: _groups(t, num, den), GROUPS))
     same = found.where("linked is not null").select(F.col("linked").alias("a"), F.col("_id").alias("b"))
     groups = cut(found.where("linked is null").select("g", "_id", "n").distinct())
     lowest = groups.groupBy("g").agg(F.min("_id").alias("hub"))
     homes = cut(groups.join(lowest, "g").groupBy("_id").agg(F.min("hub").alias("hub")))
-    chosen = texts.where(id_filter(homes, "_id")("_id")).mapInArrow(_sets(width, sketch), SETS)
-    sets = cut(chosen.join(homes.select("_id"), "_id", "left_semi"))
+    sets = cut(texts.where(id_filter(homes, "_id")("_id")).mapInArrow(_sets(width, sketch), SETS))  # and a few that no join asks for
     links = cut(_test(homes.select("hub", "_id"), sets, num, den, WALKS).unionAll(same))
     known = cut(components(links))
     placed = groups.join(known.withColumnRenamed("node", "_id"), "_id", "left").withColumn("component", F.coalesce("component", "_id"))
@@ -318,3 +335,17 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) ->
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85, 100)
+
+
+OP3_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS a FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(a[i + 1 : i + 4], ' ') AS g FROM (SELECT doc_id, a, unnest(range(0, len(a) - 3)) AS i FROM w WHERE len(a) >= 4) q
+  UNION SELECT doc_id, array_to_string(a, ' ') FROM w WHERE len(a) BETWEEN 1 AND 3),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+e AS (SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * p.k >= 85 * (na.n + nb.n - p.k)),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.m AS component_id FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.a = w.doc_id
+"""
