@@ -62,14 +62,19 @@ def reply_paths(messages: DataFrame, k: int = 1) -> DataFrame:
         done = done.unionAll(level.where("up is null"))
         levels.append(level)
     parents = m.where("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
-    leaves = done.join(parents, ["tree", "node"], "left_anti")
-    best = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / (F.col("far") + 1)), "node")
-    chosen = leaves.withColumn("path", F.row_number().over(best)).where(F.col("path") <= k)
+    leaves = done.join(parents, ["tree", "node"], "left_anti").withColumn("leaves", F.count("*").over(Window.partitionBy("tree")))
+    leaves = cut(leaves.select("tree", "node", "leaves", (F.col("total") / (F.col("far") + 1)).alias("mean")))
+    chains = leaves.where("leaves = 1").select("tree")  # a tree of one leaf is one path
+    whole = done.join(chains, "tree", "left_semi").select("tree", F.lit(1).alias("path"), F.col("far").alias("depth"), "node")
+    if not leaves.where("leaves > 1").limit(1).count():
+        return whole
+    best = Window.partitionBy("tree").orderBy(F.desc("mean"), "node")
+    chosen = leaves.where("leaves > 1").withColumn("path", F.row_number().over(best)).where(F.col("path") <= k)
     nodes = chosen.select("tree", "path", "node")
     for jump in reversed(levels):
         both = nodes.join(jump.where("up is not null").select("tree", "node", "up"), ["tree", "node"], "left")
         nodes = both.select("tree", "path", F.explode(F.array_compact(F.array("node", "up"))).alias("node"))
-    return nodes.distinct().join(done.select("tree", "node", F.col("far").alias("depth")), ["tree", "node"]).select("tree", "path", "depth", "node")
+    return whole.unionByName(nodes.distinct().join(done.select("tree", "node", F.col("far").alias("depth")), ["tree", "node"]).select("tree", "path", "depth", "node"))
 
 
 def format_turns(messages: DataFrame, paths: DataFrame) -> DataFrame:
@@ -150,7 +155,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionAll(extra)
-    messages = turns_as_chain(turns)
+    messages = cut(turns_as_chain(turns))
     got = read_back(format_turns(messages, reply_paths(messages)))
     return got.select(F.when(F.col("tree") != "null", F.col("tree")).cast("long").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
