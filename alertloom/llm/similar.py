@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, cut, id_back, id_column, id_filter, mix, parts, runs_of, table
@@ -318,18 +318,44 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 80, den: int =
     return similar_components(docs, width, num, den).select(id_back("_id").alias("doc_id"), F.col("n").alias("n_shingles"), id_back("component").alias("component_id"))
 
 
+def _nodes(named: DataFrame) -> tuple[Column, DataFrame]:
+    """A long for each distinct (doc_id, text) of named, and (node, id, rows) of all of them; the first seed under which no two share one."""
+    text = F.coalesce("text", F.lit(""))
+    for seed in range(64):
+        node = F.xxhash64(F.lit(seed), id_column("doc_id"), text)
+        each = named.select(node.alias("node"), id_column("doc_id").alias("id"), F.xxhash64(text, F.lit(-1 - seed)).alias("other"))
+        keys = cut(each.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("rows"), ((F.min("id") != F.max("id")) | (F.min("other") != F.max("other"))).alias("shared")))
+        if keys.where("shared").isEmpty():
+            return node, keys.select("node", "id", "rows")
+    raise RuntimeError("no seed tells all documents apart")
+
+
 def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs, all columns, with one document of each component: the one of the smallest id (of rows with that id, the least text)."""
+    """docs, all columns, with one row of each component of near copies: that of the smallest id (of these, the least text).
+
+    Components are of distinct (doc_id, text), so rows that repeat an id, or have none, go only where their own texts
+    are linked. Equal rows are copies of each other; rows of null or blank text have no copies and all stay.
+    """
     inner = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
     at = {c: f"c{k}" for k, c in enumerate(docs.columns)}
     named = inner.withColumns({"doc_id": F.col(at["doc_id"]), "text": F.col(at["text"])})
-    found = cut(similar_components(named, width, num, den))
-    gone = found.where("component <> _id").select("_id").distinct()
-    rest = inner.withColumn("_id", id_column(at["doc_id"])).join(gone, "_id", "left_anti")
-    twice = found.groupBy("_id").agg(F.count("*").alias("rows")).where("rows > 1").select("_id")
-    once = rest.join(twice, "_id", "left_anti")
-    first = F.row_number().over(Window.partitionBy("_id").orderBy(at["text"]))
-    again = rest.join(twice, "_id", "left_semi").withColumn("turn", first).where("turn = 1").drop("turn")
+    node, keys = _nodes(named)
+    texts = named.select(node.alias("doc_id"), "text")
+    found = similar_components(texts, width, num, den).where("n > 0").select(F.col("_id").alias("node"), "component").distinct()
+    placed = cut(keys.join(found, "node"))
+    heads = placed.groupBy("component", "id").agg(F.count("*").alias("nodes"), F.min("node").alias("node")).groupBy("component")
+    heads = cut(heads.agg(F.min(F.struct("id", "nodes", "node")).alias("head"), F.sum("nodes").alias("size")).where("size > 1").select("component", "head.*"))
+    first = heads.where("nodes = 1").select("node")
+    tied = placed.join(heads.where("nodes > 1").select("component", "id"), ["component", "id"]).select("node", "component")
+    if not heads.where("nodes > 1").isEmpty():  # texts of one id are linked: the least stays
+        tied = cut(tied)
+        held = texts.withColumnRenamed("doc_id", "node").where(id_filter(tied, "node")("node")).join(tied, "node")
+        first = first.unionAll(held.groupBy("component").agg(F.min(F.struct("text", "node")).alias("least")).select("least.node"))
+    gone = cut(placed.join(heads.select("component"), "component", "left_semi").join(first, "node", "left_anti").select("node"))
+    rest = named.select(node.alias("node"), *inner.columns).join(gone, "node", "left_anti")
+    twice = placed.where("rows > 1").select("node")
+    once = rest.join(twice, "node", "left_anti")
+    again = rest.join(twice, "node", "left_semi").dropDuplicates(["node"])
     return once.unionByName(again).select(*[F.col(at[c]).alias(c) for c in docs.columns])
 
 

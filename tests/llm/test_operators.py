@@ -169,6 +169,17 @@ def test_similar_equals_brute_force(spark, docs, empty):
     assert similar.ngram_components(empty).count() == 0
 
 
+def test_keep_one_drops_near_copies_only(spark):
+    ship(spark)
+    c = " ".join(f"gamma{k}" for k in range(60))
+    data = [(None, A), (None, B), (None, c), (None, A + " tail"), (None, c), (7, B + " end"), (7, "other words of the same id here"), (7, None), (None, ""), (None, ""), (9, "Other words of the same id here"), (9, c + " z"), (7, "x " + A), (30, "lone text of its own id"), (30, "lone text of its own id")]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(data)], "doc_id long, text string, node int")
+    kept = similar.keep_one(df, 5, 80, 100)
+    assert kept.columns == df.columns
+    want = [(None, A), (None, B), (None, c), (7, "other words of the same id here"), (7, None), (None, ""), (None, ""), (30, "lone text of its own id")]
+    assert rows(kept, "doc_id", "text") == sorted(want, key=repr)
+
+
 def test_trie_prunes_nothing_that_counts():
     rng = np.random.default_rng(4)
     sets = {k: np.sort(rng.choice(40, rng.integers(1, 30), replace=False)).astype("<u8").tobytes() for k in range(80)}
