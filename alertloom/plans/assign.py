@@ -17,6 +17,8 @@ from ..sources.scratch import cut
 
 #: Candidates drawn for each record of a quota before pairs are made unique.
 SPARE = 4
+#: Tries of the free-running mode for each record asked for, before it gives up.
+TRIES = 40
 
 
 def pair_key(client: Column, hit: Column) -> Column:
@@ -88,8 +90,8 @@ def _gap_walk(client: Column, hit: Column) -> tuple[Column, Column, Column]:
     return walk_note(c[0], h[0]), F.when(F.size(c) == F.size(h), walk_middle(c, h)).otherwise(uneven), walk_note(last(c), last(h))
 
 
-def legacy_pairs(names: DataFrame, decision: str, attempts: int = 4, double_after: int = 3, seed: str = SEED) -> DataFrame:
-    """Free-running pairs: for each client and attempt one operator by hash, with its fallbacks; later attempts mutate twice.
+def legacy_pairs(names: DataFrame, decision: str, attempts: int = 4, double_after: int = 3, seed: str = SEED, since: int = 0) -> DataFrame:
+    """Free-running pairs: for each client and attempt (from `since`, below `attempts`) one operator by hash, with its fallbacks; later attempts mutate twice.
 
     (client_name, attempt, hit_name, matching_text, code, thinking). A doubly mutated pair carries the label of the
     second step, so it may fail the audit, as in free-running mode it always could.
@@ -99,7 +101,7 @@ def legacy_pairs(names: DataFrame, decision: str, attempts: int = 4, double_afte
     menu = ["DISP_SURNAME_CONFLICT", "DISP_MIDDLE_NAME_CONFLICT", "DISP_PHONETIC_SURNAME_DIVERGENCE"] if fp else ["DISP_MINOR_TYPO", "DISP_TOKEN_ORDER_SWAP", "MIDDLE", "DISP_TRANSLITERATION_VARIANT", "DISP_DIACRITIC_STRIPPED", "DISP_COMPOUND_NAME_RESTRUCTURED", "DISP_MIDDLE_NAME_OMITTED"]
     fallback = {"DISP_TRANSLITERATION_VARIANT": "DISP_MINOR_TYPO", "DISP_DIACRITIC_STRIPPED": "DISP_MINOR_TYPO", "DISP_COMPOUND_NAME_RESTRUCTURED": "DISP_TOKEN_ORDER_SWAP"}
     clients = cut(names.select("client_name").distinct())
-    tries = clients.select("client_name", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("attempt"))
+    tries = clients.select("client_name", F.explode(F.sequence(F.lit(since), F.lit(attempts - 1))).alias("attempt"))
     key = F.concat_ws("|", "client_name", F.col("attempt").cast("string"))
     tries = tries.withColumn("wanted", pick_from(menu, key, f"menu/{decision}", seed))
 
@@ -140,15 +142,36 @@ def legacy_pairs(names: DataFrame, decision: str, attempts: int = 4, double_afte
 
 
 def legacy_alerts(names: DataFrame, num_tp: int, num_fp: int, num_exact: int = 0, seed: str = SEED) -> DataFrame:
-    """Free-running mode: exact matches first, then pairs of either decision, each pair once, by hash up to the counts."""
+    """Free-running mode: exact matches first, then pairs of either decision, each pair once, by hash up to the counts.
+
+    A decision that is short gets more attempts for each client, twice as many a round, up to TRIES for each record (and client);
+    RuntimeError if it stays short, or if a round beyond TRIES attempts brings nothing new.
+    """
+    wanted = {0: num_exact, 1: num_tp - num_exact, 2: num_fp}
+    decisions = {1: v.ESCALATE, 2: v.DISQUALIFY}
     exact = candidates(reserved_exact(names, num_exact, seed), "DISP_EXACT_NAME_MATCH").withColumns({"attempt": F.lit(0), "want": F.lit(0)})
     rows = exact.select("code", "client_name", "attempt", "hit_name", "matching_text", "thinking", "want")
-    for k, decision in ((1, v.ESCALATE), (2, v.DISQUALIFY)):
-        rows = rows.unionByName(legacy_pairs(names, decision, seed=seed).withColumn("want", F.lit(k)))
-    once = F.row_number().over(Window.partitionBy(pair_key(F.col("client_name"), F.col("hit_name"))).orderBy("want", "attempt", pair_rank(seed)))
-    rows = rows.withColumn("_at", once).where("_at = 1")
+    clients = max(1, names.select("client_name").distinct().count())
+    first = {k: max(4, -(-2 * wanted[k] // clients)) for k in decisions}
+    most = {k: max(TRIES, -(-TRIES * wanted[k] // clients)) for k in decisions}
+    tried, got = dict.fromkeys(decisions, 0), dict.fromkeys(wanted, 0)
+    again = [k for k in decisions if wanted[k] > 0]
+    while True:
+        for k in again:
+            to = min(most[k], 2 * tried[k] or first[k])
+            rows = rows.unionByName(legacy_pairs(names, decisions[k], to, max(3, 3 * first[k] // 4), seed, tried[k]).withColumn("want", F.lit(k)))
+            tried[k] = to
+        once = F.row_number().over(Window.partitionBy(pair_key(F.col("client_name"), F.col("hit_name"))).orderBy("want", "attempt", pair_rank(seed)))
+        rows = cut(rows.withColumn("_at", once).where("_at = 1").drop("_at"))
+        old, got = got, dict.fromkeys(wanted, 0) | {r["want"]: r["count"] for r in rows.groupBy("want").count().collect()}  # three rows
+        short = [k for k in wanted if got[k] < wanted[k]]
+        again = [k for k in short if k and tried[k] < most[k] and (got[k] > old[k] or tried[k] < TRIES)]
+        if not again:
+            break
+    if short:
+        raise RuntimeError(f"counts can't be met: {', '.join(f'{decisions.get(k, "exact")}: {got[k]} of {wanted[k]}' for k in short)}")
     order = F.row_number().over(Window.partitionBy("want").orderBy("attempt", pair_rank(seed)))
-    limit = F.when(F.col("want") == 0, num_exact).when(F.col("want") == 1, num_tp - num_exact).otherwise(num_fp)
+    limit = F.when(F.col("want") == 0, wanted[0]).when(F.col("want") == 1, wanted[1]).otherwise(wanted[2])
     return as_alerts(rows.withColumn("_n", order).where(F.col("_n") <= limit))
 
 

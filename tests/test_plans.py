@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from alertloom.functions import vocab as v
 from alertloom.operators import audit, review
-from alertloom.plans import pipeline, quotas
+from alertloom.plans import assign, pipeline, quotas
 from alertloom.plans.quotas import Options
 from alertloom.sources import model
 from alertloom.sources.names import read_alerts, world_names, write_alerts
@@ -57,6 +58,16 @@ def test_balanced_alerts_hold_every_promise(spark, tmp_path):
     assert sorted(read_alerts(spark, str(tmp_path / "out")).collect()) == sorted(alerts.collect())
 
 
+def test_legacy_alerts_meet_their_counts_or_raise(spark):
+    names = spark.createDataFrame([("Wei Zhang",), ("Ana María López",), ("Omar Haddad",), ("John Fitzgerald Smith",)], "client_name string")
+    alerts = assign.legacy_alerts(names, 120, 60, 3)
+    n = {(r.decision, r.exact): r["count"] for r in alerts.groupBy("decision", (F.col("client_name") == F.col("hit_name")).alias("exact")).count().collect()}
+    assert n == {(v.ESCALATE, True): 3, (v.ESCALATE, False): 117, (v.DISQUALIFY, False): 60}
+    assert audit.uniqueness(alerts).first().distinct_pairs == 180
+    with pytest.raises(RuntimeError):
+        assign.legacy_alerts(spark.createDataFrame([("Cher",)], "client_name string"), 0, 5)
+
+
 def test_review(spark):
     rows = [
         (1, "Ali Kan", "Ali Khan", '```json\n{"thinking":"Ok.","decision":"Escalate","disposition_code":"minor typo","matching_text":"Ali"}\n```', None, None),
