@@ -54,13 +54,26 @@ def _alike(rows: np.ndarray) -> np.ndarray:
     return np.lexsort((product[np.arange(len(x)), near], near))
 
 
-def _cells(kind: str, dims: int, shares: int, chunks: int):
+def _quantised(dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, rows = _matrix(b, dims)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["vec_id", "row"])
+
+    return run
+
+
+def _cells(kind: str, dims: int, shares: int, chunks: int):
+    """Cells of vectors (kind "blocks") or of distinct quantised queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
             if kind == "blocks":
+                ids, rows = _matrix(b, dims)
                 order = _alike(rows)
                 ids, rows = ids[order], rows[order]
+            else:
+                ids, rows = b.column("vec_id").to_numpy(), np.frombuffer(b"".join(b.column("row").to_pylist()), np.int64).reshape(-1, dims)
             out = []
             for lo in range(0, len(ids), BLOCK):
                 i, r = ids[lo : lo + BLOCK], rows[lo : lo + BLOCK]
@@ -114,7 +127,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     dims = vectors.unionAll(queries).agg(F.max(F.size("embedding"))).first()[0] or 0
     dims, chunks, shares = max(dims, 1), max(1, -(-n // CHUNK)), parts(spark)
     left = vectors.mapInArrow(_cells("blocks", dims, shares, chunks), CELLS)
-    right = queries.mapInArrow(_cells("queries", dims, shares, chunks), CELLS)
+    once = queries.mapInArrow(_quantised(dims), "vec_id long, row binary").distinct()  # a repeated query row is one query
+    right = once.mapInArrow(_cells("queries", dims, shares, chunks), CELLS)
     schema = pa.schema([("query_id", pa.int64()), ("mark", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def cell(a: pa.Table, b: pa.Table) -> pa.Table:

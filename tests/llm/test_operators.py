@@ -15,6 +15,7 @@ from alertloom.llm.common import components, ship
 
 P = pytest.importorskip("public_tokenizers")
 BYTES = P.path("byte_bpe_50k.json")
+HIT = ["query_id", "rank", "vec_id", "score"]
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 A, B = " ".join(f"alpha{k}" for k in range(60)), " ".join(f"beta{k}" for k in range(60))
 DOCS = [
@@ -122,6 +123,18 @@ def test_topk_equals_brute_force(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_topk_takes_a_repeated_query_row_once(spark):
+    ship(spark)
+    rng = np.random.default_rng(4)
+    data = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(60)]
+    v = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    again = v.where("vec_id = 50")
+    q = v.where("vec_id % 50 = 0").unionAll(again).unionAll(again.selectExpr("vec_id", "concat(embedding, array(cast(0 as float)))"))
+    assert rows(topk.top_k(v, q, 5), *HIT) == rows(topk.top_k(v, v.where("vec_id % 50 = 0"), 5), *HIT)
+    both = v.unionAll(again)  # among the vectors, too, the query's own rows are no candidates
+    assert rows(topk.top_k(both, both.where("vec_id = 50"), 5), *HIT) == rows(topk.top_k(v, again, 5), *HIT)
+
+
 # 3
 
 
