@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab as v
-from ..functions.strings import ABSENT, SEED, compose, decision_of, joined, label_of, last, middle, pick, pick_from, tokens, trimmed_lower, walk_middle, walk_note
+from ..functions.strings import ABSENT, SEED, compose, decision_of, joined, label_of, last, lookup, middle, pick, pick_from, tokens, trimmed_lower, walk_middle, walk_note
 from ..operators.audit import pair_problem
+from ..operators.capability import capable, gender_clients, gender_of
 from ..operators.mutate import candidates
 from ..sources.scratch import cut
 
@@ -141,16 +142,29 @@ def legacy_pairs(names: DataFrame, decision: str, attempts: int = 4, double_afte
     return whole.where(~same).unionByName(instead.select(*whole.columns))
 
 
-def legacy_alerts(names: DataFrame, num_tp: int, num_fp: int, num_exact: int = 0, seed: str = SEED) -> DataFrame:
-    """Free-running mode: exact matches first, then pairs of either decision, each pair once, by hash up to the counts.
+def gender_rows(names: DataFrame, count: int, seed: str = SEED) -> DataFrame:
+    """Pairs for `count` reserved cross-gender records and some spare, masculine and feminine clients in turn (attempt)."""
+    code = "DISP_GIVEN_NAME_GENDER_VARIANT"
+    able = names.where(gender_of(F.col("client_name")).isNull() | capable(F.col("client_name"), code))
+    clients = gender_clients(able, count + max(5, count // 5), seed).select("client_name", F.col("turn").cast("int").alias("attempt"))
+    return candidates(clients, code).join(clients, "client_name")
+
+
+def legacy_rows(names: DataFrame, num_tp: int, num_fp: int, num_exact: int = 0, seed: str = SEED, num_gender: int = 0) -> DataFrame:
+    """Free-running mode: reserved cross-gender (of num_fp) and exact records (of num_tp) first, then pairs of either decision, each pair once, by hash up to the counts.
+
+    (code, client_name, attempt, hit_name, matching_text, thinking, want, slot): want is -1 for cross-gender, 0 for exact,
+    1 and 2 for the decisions; slot counts from 1 in each.
 
     A decision that is short gets more attempts for each client, twice as many a round, up to TRIES for each record (and client);
     RuntimeError if it stays short, or if a round beyond TRIES attempts brings nothing new.
     """
-    wanted = {0: num_exact, 1: num_tp - num_exact, 2: num_fp}
+    wanted = {-1: num_gender, 0: num_exact, 1: num_tp - num_exact, 2: num_fp - num_gender}
     decisions = {1: v.ESCALATE, 2: v.DISQUALIFY}
     exact = candidates(reserved_exact(names, num_exact, seed), "DISP_EXACT_NAME_MATCH").withColumns({"attempt": F.lit(0), "want": F.lit(0)})
     rows = exact.select("code", "client_name", "attempt", "hit_name", "matching_text", "thinking", "want")
+    if num_gender > 0:
+        rows = rows.unionByName(gender_rows(names, num_gender, seed).withColumn("want", F.lit(-1)).select(*rows.columns))
     clients = max(1, names.select("client_name").distinct().count())
     first = {k: max(4, -(-2 * wanted[k] // clients)) for k in decisions}
     most = {k: max(TRIES, -(-TRIES * wanted[k] // clients)) for k in decisions}
@@ -163,16 +177,20 @@ def legacy_alerts(names: DataFrame, num_tp: int, num_fp: int, num_exact: int = 0
             tried[k] = to
         once = F.row_number().over(Window.partitionBy(pair_key(F.col("client_name"), F.col("hit_name"))).orderBy("want", "attempt", pair_rank(seed)))
         rows = cut(rows.withColumn("_at", once).where("_at = 1").drop("_at"))
-        old, got = got, dict.fromkeys(wanted, 0) | {r["want"]: r["count"] for r in rows.groupBy("want").count().collect()}  # three rows
+        old, got = got, dict.fromkeys(wanted, 0) | {r["want"]: r["count"] for r in rows.groupBy("want").count().collect()}  # four rows
         short = [k for k in wanted if got[k] < wanted[k]]
-        again = [k for k in short if k and tried[k] < most[k] and (got[k] > old[k] or tried[k] < TRIES)]
+        again = [k for k in short if k in tried and tried[k] < most[k] and (got[k] > old[k] or tried[k] < TRIES)]
         if not again:
             break
     if short:
-        raise RuntimeError(f"counts can't be met: {', '.join(f'{decisions.get(k, "exact")}: {got[k]} of {wanted[k]}' for k in short)}")
+        kinds = decisions | {-1: "cross-gender", 0: "exact"}
+        raise RuntimeError(f"counts can't be met: {', '.join(f'{kinds[k]}: {got[k]} of {wanted[k]}' for k in short)}")
     order = F.row_number().over(Window.partitionBy("want").orderBy("attempt", pair_rank(seed)))
-    limit = F.when(F.col("want") == 0, wanted[0]).when(F.col("want") == 1, wanted[1]).otherwise(wanted[2])
-    return as_alerts(rows.withColumn("_n", order).where(F.col("_n") <= limit))
+    return rows.withColumn("slot", order.cast("long")).where(F.col("slot") <= lookup(wanted, F.col("want")))
+
+
+def legacy_alerts(names: DataFrame, num_tp: int, num_fp: int, num_exact: int = 0, seed: str = SEED, num_gender: int = 0) -> DataFrame:
+    return as_alerts(legacy_rows(names, num_tp, num_fp, num_exact, seed, num_gender))
 
 
-__all__ = ["ABSENT", "all_candidates", "as_alerts", "fill", "legacy_alerts", "legacy_pairs", "pair_key", "pick", "reserved_exact", "shortfall", "unique_pairs"]
+__all__ = ["ABSENT", "all_candidates", "as_alerts", "fill", "legacy_alerts", "legacy_pairs", "legacy_rows", "pair_key", "pick", "reserved_exact", "shortfall", "unique_pairs"]

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import argparse
 import dataclasses
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocab as v
+from ..functions.strings import lookup
 from ..operators import audit, capability
 from ..operators.review import or_fallback
 from ..sources.model import Chat, answers
 from ..sources.names import load_names, write_alerts
 from ..sources.scratch import cut
 from . import assign, quotas
-from .quotas import Options
+from .quotas import Counts, Options
 
 
 def balanced(names: DataFrame, plan: DataFrame, alpha: float = 1.0, chat: Chat | None = None, batch_size: int = 20, allow_short: bool = False, seed: str = "42") -> DataFrame:
@@ -40,13 +42,27 @@ def balanced(names: DataFrame, plan: DataFrame, alpha: float = 1.0, chat: Chat |
     return ruled.unionByName(or_fallback(answers(asked, chat, batch_size), strict=True))
 
 
+def free_running(names: DataFrame, counts: Counts, chat: Chat | None = None, batch_size: int = 20, seed: str = "42") -> DataFrame:
+    """Alerts of the free-running mode. Of either decision's pairs the first floor(rule share) are rule-based; the rest, with any code of its decision,
+    and the reserved cross-gender ones, pinned to theirs, go to the model, if there is one."""
+    rows = assign.legacy_rows(names, counts.num_tp, counts.num_fp, counts.exact, seed, counts.gender)
+    if chat is None:
+        return assign.as_alerts(rows)
+    rows = cut(rows)
+    alpha = counts.rule_pct / 100.0
+    own = lookup({-1: 0, 0: counts.exact, 1: math.floor(alpha * (counts.num_tp - counts.exact)), 2: math.floor(alpha * (counts.num_fp - counts.gender))}, F.col("want"))
+    code, decision, pinned = F.col("code"), assign.decision_of(F.col("code")), F.col("want") == -1
+    asked = rows.where(F.col("slot") > own).select("client_name", "hit_name", code.alias("fallback_code"), F.when(pinned, code).alias("enforce_code"), F.when(pinned, decision).alias("enforce_decision"), decision.alias("target_decision"), F.col("matching_text").alias("rule_matching"), F.col("thinking").alias("rule_thinking"))
+    return assign.as_alerts(rows.where(F.col("slot") <= own)).unionByName(or_fallback(answers(asked, chat, batch_size), strict=False))
+
+
 def run(spark: SparkSession, options: Options, names_csv: str | None = None, column: str | None = None, chat: Chat | None = None, per_locale: int = 150) -> tuple[DataFrame, DataFrame | None]:
     """(alerts, plan) for the options; plan is None in free-running mode."""
     counts = quotas.resolve_counts(options)
     names = load_names(spark, names_csv, column, per_locale=per_locale, locales=quotas.parse_locales(options.faker_locales), seed=options.seed).select(F.col("name").alias("client_name"))
     plan = quotas.resolve_plan(spark, options, counts)
     if plan is None:
-        return assign.legacy_alerts(names, counts.num_tp, counts.num_fp, counts.exact, options.seed), None
+        return free_running(names, counts, chat, options.batch_size, options.seed), None
     return balanced(names, plan, counts.rule_pct / 100.0, chat, options.batch_size, options.allow_rebalance, options.seed), plan
 
 

@@ -219,7 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gender_interleave": gender_interleave,
     "unique_pairs": deterministic_alerts,
     "balanced_alerts": balanced_alerts,
-    "legacy_alerts": lambda spark, d: assign.legacy_alerts(clients(spark, d), 60, 40, 10),
+    "legacy_alerts": lambda spark, d: assign.legacy_alerts(clients(spark, d), 60, 40, 10, num_gender=2),
     "synthesised_names": lambda spark, d: capability.synthesised(spark, clients(spark, d), "DISP_DIACRITIC_STRIPPED", 50),
     "generated_names": lambda spark, d: src.generated_names(spark, 40),
     "audit_pairs": _on(lambda d: audit.audit_pairs(d).select("k", "disposition_code", "problem"), pairs),

@@ -68,6 +68,19 @@ def test_legacy_alerts_meet_their_counts_or_raise(spark):
         assign.legacy_alerts(spark.createDataFrame([("Cher",)], "client_name string"), 0, 5)
 
 
+def test_free_running_holds_reserved_genders_and_asks_the_model(spark):
+    names = world_names(spark).selectExpr("name AS client_name")
+    counts = quotas.resolve_counts(Options(total_samples=60, num_gender_variants=4, num_exact_matches=2, disposition_balance="off"))
+    chat = lambda s, u: '{"thinking":"t","decision":"' + ("disqualify" if "conclude with 'disqualify'" in u else "escalate") + '"}'
+    gender = F.col("disposition_code") == "DISP_GIVEN_NAME_GENDER_VARIANT"
+    for asks in (None, chat):
+        got = pipeline.free_running(names, counts, asks).cache()
+        assert got.where(gender).count() == 4 and got.where("decision = 'escalate to analyst'").count() == 30 and got.count() == 60
+        asked = got.where("created_by = 'ollama'")
+        # floor(0.3 * 28) and floor(0.3 * 26) pairs stay with the rules
+        assert asked.count() == (28 - 8 + 26 - 7 + 4 if asks else 0) and asked.where(gender).count() == (4 if asks else 0)
+
+
 def test_review(spark):
     rows = [
         (1, "Ali Kan", "Ali Khan", '```json\n{"thinking":"Ok.","decision":"Escalate","disposition_code":"minor typo","matching_text":"Ali"}\n```', None, None),
