@@ -6,6 +6,8 @@ number of partitions gives the same alerts.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,13 +42,14 @@ def thinned(pool: DataFrame, code: str, quota: int, size: int, seed: str = SEED)
     return rows.where(part < int((1 << 20) * min(1.0, 1.5 * need / size) + 1))
 
 
-def all_candidates(pool: DataFrame, quotas: dict[str, int], seed: str = SEED) -> DataFrame:
-    """Candidates of every planned code whose label holds, by the independent audit."""
-    sizes = {r["code"]: r["count"] for r in pool.groupBy("code").count().collect()}  # a row per code
+def all_candidates(pool: DataFrame, quotas: dict[str, int], seed: str = SEED, whole_pools: Collection[str] = ()) -> DataFrame:
+    """Candidates of every planned code whose label holds, by the independent audit; of whole_pools from all clients."""
+    sizes = {r["code"]: r["n"] for r in pool.groupBy("code").agg(F.countDistinct("client_name").alias("n")).collect()}  # a row per code
     whole = None
     for code in v.CODES:
         if quotas.get(code, 0) > 0:
-            one = candidates(thinned(pool, code, quotas[code], sizes.get(code, 0), seed), code)
+            size = 0 if code in whole_pools else sizes.get(code, 0)
+            one = candidates(thinned(pool, code, quotas[code], size, seed), code)
             whole = one if whole is None else whole.unionByName(one)
     return whole.where(pair_problem(F.col("client_name"), F.col("hit_name"), F.col("code")).isNull())
 
@@ -67,10 +70,11 @@ def fill(pairs: DataFrame, plan: DataFrame) -> DataFrame:
     return pairs.withColumn("slot", at.cast("long")).join(F.broadcast(plan.select("code", "quota")), "code").where(F.col("slot") <= F.col("quota"))
 
 
-def shortfall(filled: DataFrame, plan: DataFrame) -> list[str]:
+def shortfall(filled: DataFrame, plan: DataFrame) -> dict[str, str]:
+    """code -> what it has of its quota, for the codes that are short."""
     got = filled.groupBy("code").agg(F.count("*").alias("n"))
     rows = plan.join(got, "code", "left").where(F.coalesce("n", F.lit(0)) < F.col("quota")).select("code", "quota", F.coalesce("n", F.lit(0)).alias("n")).orderBy("code").collect()
-    return [f"{r['code']}: {r['n']} of {r['quota']}" for r in rows]
+    return {r["code"]: f"{r['code']}: {r['n']} of {r['quota']}" for r in rows}
 
 
 def as_alerts(filled: DataFrame, created_by: str = "rule_based") -> DataFrame:

@@ -27,10 +27,16 @@ def balanced(names: DataFrame, plan: DataFrame, alpha: float = 1.0, chat: Chat |
     if not wanted:
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in v.OUTPUT))
     pool = cut(capability.pools(spark, names, wanted, seed=seed))
-    found = cut(assign.all_candidates(pool, wanted, seed))
-    filled = cut(assign.fill(assign.unique_pairs(found, wanted, seed), plan))
-    if not allow_short and (missing := assign.shortfall(filled, plan)):
-        raise RuntimeError(f"quotas can't be filled: {', '.join(missing)}")
+    whole: set[str] = set()
+    while True:
+        found = cut(assign.all_candidates(pool, wanted, seed, whole))
+        filled = cut(assign.fill(assign.unique_pairs(found, wanted, seed), plan))
+        missing = assign.shortfall(filled, plan)
+        if missing.keys() <= whole:
+            break
+        whole |= missing.keys()  # short of a part of its clients: take all
+    if missing and not allow_short:
+        raise RuntimeError(f"quotas can't be filled: {', '.join(missing.values())}")
     if chat is None:
         return assign.as_alerts(filled)
     split = F.broadcast(quotas.split_sources(plan, alpha).select("code", "a"))

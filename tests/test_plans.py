@@ -81,6 +81,16 @@ def test_free_running_holds_reserved_genders_and_asks_the_model(spark):
         assert asked.count() == (28 - 8 + 26 - 7 + 4 if asks else 0) and asked.where(gender).count() == (4 if asks else 0)
 
 
+def test_balanced_takes_the_rest_of_a_pool_that_was_thinned_too_far(spark, monkeypatch):
+    made = [f"{chr(65 + i)}lan {chr(65 + j)}ubin{chr(97 + k)}" for i in range(26) for j in range(26) for k in range(2)]
+    names = spark.createDataFrame([(n,) for n in made], "client_name string")
+    wanted = spark.createDataFrame([("DISP_TOKEN_ORDER_SWAP", 400)], "code string, quota long")
+    few = spark.createDataFrame([(n,) for n in made[:200] * 40], "client_name string")
+    assert assign.all_candidates(few.withColumn("code", F.lit("DISP_TOKEN_ORDER_SWAP")), {"DISP_TOKEN_ORDER_SWAP": 40}).count() >= 150
+    monkeypatch.setattr(assign, "SPARE", 0)
+    assert pipeline.balanced(names, wanted).count() == 400
+
+
 def test_review(spark):
     rows = [
         (1, "Ali Kan", "Ali Khan", '```json\n{"thinking":"Ok.","decision":"Escalate","disposition_code":"minor typo","matching_text":"Ali"}\n```', None, None),
