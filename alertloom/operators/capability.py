@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab as v
 from ..functions.strings import SEED, before_last, folded, last, lookup, pick, strip_marks, tokens, words
+from ..sources.scratch import cut
 
 ACCENT_FORMS = sorted({x for pair in v.ACCENTED for x in pair})
 HYPHENATED = sorted({h for h, _ in v.COMPOUND})
@@ -51,6 +52,15 @@ def gender_of(name: Column) -> Column:
     return lookup(v.GENDER, folded(F.get(tokens(name), F.lit(0))))
 
 
+def numbered(tokens: DataFrame, seed: str = SEED) -> tuple[DataFrame, int]:
+    """(x, ix) of the distinct values of x, numbered from 0 by hash, and their number: ranks within buckets of the hash, behind the buckets before."""
+    rows = cut(tokens.distinct().withColumn("hash", F.md5(F.concat("x", F.lit(seed)))).withColumn("bucket", F.substring("hash", 1, 3)))
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"))  # at most 4096 rows
+    before = sizes.withColumn("before", F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).select("bucket", "before")
+    at = F.row_number().over(Window.partitionBy("bucket").orderBy("hash"))
+    return rows.withColumn("at", at).join(F.broadcast(before), "bucket").select("x", (F.col("before") + F.col("at") - 1).alias("ix")), rows.count()
+
+
 def synthesised(spark: SparkSession, names: DataFrame, code: str, needed: int, seed: str = SEED) -> DataFrame:
     """Up to `needed` made-up client names for a code: a curated token with a pooled given name or surname; three draws each."""
     recipes = {"DISP_DIACRITIC_STRIPPED", "DISP_COMPOUND_NAME_RESTRUCTURED", "DISP_TRANSLITERATION_VARIANT", "DISP_MIDDLE_INITIAL_EXPANDED", "DISP_MIDDLE_NAME_ABBREVIATED", "DISP_PHONETIC_SURNAME_DIVERGENCE"}
@@ -58,9 +68,8 @@ def synthesised(spark: SparkSession, names: DataFrame, code: str, needed: int, s
     if needed <= 0 or code not in recipes:
         return empty
     t = tokens(F.col("client_name"))
-    part = lambda c: names.select(c.alias("x")).distinct().withColumn("hash", F.md5(F.concat("x", F.lit(seed)))).orderBy("hash").limit(4096).select("x", (F.row_number().over(Window.orderBy("hash")) - 1).alias("ix"))
-    givens, surnames = part(F.get(t, F.lit(0))), part(last(t))  # bounded lists to draw from
-    n_given, n_surname = givens.count(), surnames.count()
+    givens, n_given = numbered(names.select(F.get(t, F.lit(0)).alias("x")).where("x is not null"), seed)
+    surnames, n_surname = numbered(names.select(last(t).alias("x")).where("x is not null"), seed)
     if not n_given or not n_surname:
         return empty
     key = F.concat_ws("|", F.lit(code), F.col("id").cast("string"))
@@ -73,7 +82,7 @@ def synthesised(spark: SparkSession, names: DataFrame, code: str, needed: int, s
         "DISP_PHONETIC_SURNAME_DIVERGENCE": [x.title() for x in sorted(v.PHONETIC)],
     }[code]
     draws = spark.range(3 * needed).select("id", F.get(words(curated), pick(key, "token", len(curated), seed).cast("int")).alias("token"), pick(key, "given", n_given, seed).alias("g"), pick(key, "surname", n_surname, seed).alias("s"), (pick(key, "side", 2, seed) == 0).alias("first"))
-    draws = draws.join(F.broadcast(givens.withColumnsRenamed({"ix": "g", "x": "given"})), "g").join(F.broadcast(surnames.withColumnsRenamed({"ix": "s", "x": "surname"})), "s")  # at most 4096 rows each
+    draws = draws.join(givens.withColumnsRenamed({"ix": "g", "x": "given"}), "g").join(surnames.withColumnsRenamed({"ix": "s", "x": "surname"}), "s")
     if code in ("DISP_DIACRITIC_STRIPPED", "DISP_COMPOUND_NAME_RESTRUCTURED"):
         name = F.concat_ws(" ", "token", "surname")
     elif code == "DISP_TRANSLITERATION_VARIANT":

@@ -61,3 +61,19 @@ def test_csv_source_and_first_wins(spark, tmp_path):
     assert [(r.name, r.src) for r in got] == [("Ahmed Al-Zomor", "csv")]
     assert src.load_names(spark, str(tmp_path / "none.csv"), augment=False, generate=False).count() == 122
     assert src.generated_names(spark, 0).count() == 0
+
+
+def test_made_up_names_draw_from_every_token(spark):
+    from hashlib import md5
+
+    from alertloom.functions.strings import SEED
+    from alertloom.operators import capability
+
+    code = lambda k: "".join(chr(97 + k // 26**i % 26) for i in range(3))
+    givens = [f"G{code(k)}" for k in range(6000)]
+    names = spark.createDataFrame([(f"{g} S{code(k)}",) for k, g in enumerate(givens)], "client_name string")
+    least = sorted(givens, key=lambda g: md5(f"{g}{SEED}".encode()).hexdigest())
+    ranks, n = capability.numbered(names.selectExpr("split(client_name, ' ')[0] AS x"))
+    assert n == 6000 and [r.x for r in ranks.orderBy("ix").collect()] == least and ranks.where("ix = 5999").count() == 1
+    made = {r.client_name.split()[0] for r in capability.synthesised(spark, names, "DISP_PHONETIC_SURNAME_DIVERGENCE", 300).collect()}
+    assert made & set(least[4096:]) and made <= set(givens)
