@@ -5,13 +5,19 @@ features of their own. Training adds to the logistic loss a penalty on the squar
 score when its identity terms are swapped for others of their group, so that naming a group moves the
 score as little as the data allow. Labels are the only other input.
 
-The fit uses at most MAX_TOXIC toxic and MAX_CLEAN other labelled documents (least hashes of doc_id), which
-is what reaches the driver; the share of toxic rows among all training labels corrects the intercept.
-Scoring covers every row and its whole text, by a table of at most MAX_FEATURES weights.
+The fit uses at most MAX_TOXIC toxic and MAX_CLEAN other labelled documents (least hashes of doc_id); the
+share of toxic rows among all training labels corrects the intercept. Features are counted and chosen in
+Spark; the driver gets the MAX_FEATURES chosen ones and, for each sampled document, their places as 16-bit
+numbers, so at most 2 * (MAX_TOXIC + MAX_CLEAN) * (MAX_FEATURES + terms) bytes, 200 MB, however long texts are.
+Scoring covers every row and its whole text.
+
+Each identity term is one feature of its own, so swapping a term in a sentence changes its score by the
+difference of two weights: the penalty is computed on these and no swapped text has to be written.
 
 Defined cases: null or empty text scores by the intercept; a null doc_id is scored and its label not used;
-null labels are ignored, repeated labels count as toxic if one is; without labels of both kinds the score is
-0; repeated rows are scored alike; other columns of the table are kept out.
+null labels are ignored, repeated labels count as toxic if one is; of rows that repeat a doc_id the fit uses
+the one with the least text; without labels of both kinds, or without features, the score is that of the
+shares or 0; repeated rows are scored alike; other columns of the table are kept out.
 """
 
 from __future__ import annotations
@@ -26,14 +32,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 
 SPACE = 1 << 20
-MAX_TOXIC, MAX_CLEAN, MAX_FEATURES = 4000, 8000, 30_000
+MAX_TOXIC, MAX_CLEAN, MAX_FEATURES = 4000, 8000, 8192
 THRESHOLD, HELD_OUT = 0.3, 2
-#: A feature must lean to one label by so many standard errors.
-LEAST_LEAN = 3
-#: Groups of identity terms; a term is swapped for others of its own group.
+#: A feature must lean to one label by so many standard errors, and stand in so many of the sampled documents.
+LEAST_LEAN, LEAST_DOCS = 3, 3
+#: Places of features handled at once in a step of the fit.
+PORTION = 1 << 20
+#: Groups of identity terms, of four languages; a term is swapped for others of its own group.
 IDENTITY = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "atheist", "catholic"),
     ("muslims", "christians", "jews", "hindus", "buddhists", "sikhs", "atheists", "catholics"),
@@ -48,6 +56,12 @@ IDENTITY = (
     ("old", "young", "elderly", "teenage"),
     ("immigrant", "refugee", "native", "foreigner"),
     ("immigrants", "refugees", "natives", "foreigners"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("frauen", "männer"), ("schwule", "lesben"), ("türken", "polen", "russen", "araber", "afrikaner"), ("ausländer", "einheimische", "flüchtlinge"),
+    ("musulmán", "cristiano", "judío", "ateo"), ("musulmanes", "cristianos", "judíos", "ateos"), ("mujeres", "hombres"),
+    ("árabes", "africanos", "asiáticos", "europeos"), ("extranjeros", "inmigrantes", "refugiados"),
+    ("musulman", "chrétien", "juif", "athée"), ("musulmans", "chrétiens", "juifs", "athées"), ("femmes", "hommes"),
+    ("arabes", "africains", "asiatiques", "européens"), ("étrangers", "immigrés", "réfugiés"),
 )
 TERMS = {w: SPACE + i for i, w in enumerate(w for g in IDENTITY for w in g)}
 SWAPS = {TERMS[w]: [TERMS[x] for x in g[k + 1 :] + g[:k]] for g in IDENTITY for k, w in enumerate(g)}
@@ -88,42 +102,42 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.logits(text, store), -30, 30))))
 
 
-def train(rows: list[np.ndarray], toxic: np.ndarray, strength: float = 1.0, rounds: int = 200, rate: float = 0.1, decay: float = 1e-3) -> Model:
-    """rows: features of each text. strength weighs the counterfactual penalty; 0 leaves it out."""
+def train(rows: list[np.ndarray], toxic: np.ndarray, strength: float = 1.0, rounds: int = 200, rate: float = 0.1, decay: float = 1e-3, slots: np.ndarray | None = None) -> Model:
+    """rows: features of each text, as places in `slots` if that is given. strength weighs the counterfactual penalty; 0 leaves it out."""
     toxic = np.asarray(toxic, np.float64)
     if not len(rows) or toxic.min() == toxic.max():
         return Model()
-    sizes = np.array([len(r) for r in rows])
-    doc, feat = np.repeat(np.arange(len(rows)), sizes), np.concatenate(rows).astype(np.int64)
-    width = SPACE + len(TERMS)
-    there, bad = np.bincount(feat, minlength=width), np.bincount(feat, toxic[doc], minlength=width)
+    ends = np.cumsum([len(r) for r in rows])
+    at = np.concatenate(rows)
+    if slots is None:
+        slots = np.union1d(at, list(TERMS.values()))
+        at = np.searchsorted(slots, at)
+    # portions of whole documents, each with its first document and its places
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(PORTION, ends[-1], PORTION)), [0, len(rows)]))
+    starts = np.append(0, ends)
+    spans = [(lo, hi, starts[lo], starts[hi]) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+    owner = lambda lo, hi: np.repeat(np.arange(hi - lo), np.diff(starts[lo : hi + 1]))
+    named = [(lo, hi, *(x[slots[at[a:z]] >= SPACE] for x in (owner(lo, hi), at[a:z].astype(np.int64)))) for lo, hi, a, z in spans]
+    pairs = sum(len(np.unique(d)) for _, _, d, _ in named) or 1
     base = toxic.mean()
-    lean = np.abs(bad - there * base) / np.sqrt(there * base * (1 - base) + 1)
-    lean[there < min(3, 1 + len(rows) // 100)] = 0
-    lean[SPACE:] += np.where(there[SPACE:] > 0, 1e9, 0)
-    kept = np.sort(np.argsort(-lean, kind="stable")[:MAX_FEATURES])
-    kept = kept[lean[kept] > LEAST_LEAN]
-    slots = np.union1d(kept, np.arange(SPACE, width))
-    at = np.searchsorted(slots, feat)
-    ok = (at < len(slots)) & (slots[np.minimum(at, len(slots) - 1)] == feat)
-    doc, at = doc[ok], at[ok]
-    named = slots[at] >= SPACE
-    term_doc, term = doc[named], slots[at[named]]
-    pairs = len(np.unique(term_doc)) or 1
     w, b = np.zeros(len(slots)), np.log(base / (1 - base))
     m, v = np.zeros(len(slots) + 1), np.zeros(len(slots) + 1)
     n = len(rows)
+    swaps = {int(k): np.searchsorted(slots, SWAPS[int(slots[k])]) for k in np.flatnonzero(slots >= SPACE)}
     for step in range(1, rounds + 1):
-        z = b + np.bincount(doc, w[at], minlength=n)
-        miss = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - toxic) / n
-        g = np.bincount(at, miss[doc], minlength=len(slots)) + decay * w
-        if strength and len(term):
-            other = np.searchsorted(slots, [SWAPS[t][step % len(SWAPS[t])] for t in term])
-            mine = np.searchsorted(slots, term)
-            change = np.bincount(term_doc, w[mine] - w[other], minlength=n)
-            push = 2 * strength * change[term_doc] / pairs
-            g += np.bincount(mine, push, minlength=len(slots)) - np.bincount(other, push, minlength=len(slots))
-        g = np.append(g, miss.sum())
+        g, g0 = decay * w, 0.0
+        for (lo, hi, a, z), (_, _, d, t) in zip(spans, named, strict=True):
+            doc, place = owner(lo, hi), at[a:z].astype(np.int64)
+            score = b + np.bincount(doc, w[place], minlength=hi - lo)
+            miss = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - toxic[lo:hi]) / n
+            g += np.bincount(place, miss[doc], minlength=len(slots))
+            g0 += miss.sum()
+            if strength and len(t):
+                other = np.array([swaps[x][step % len(swaps[x])] for x in t.tolist()])
+                change = np.bincount(d, w[t] - w[other], minlength=hi - lo)
+                push = 2 * strength * change[d] / pairs
+                g += np.bincount(t, push, minlength=len(slots)) - np.bincount(other, push, minlength=len(slots))
+        g = np.append(g, g0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -134,6 +148,25 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == HELD_OUT
 
 
+def _chosen(sampled: DataFrame, n: int, bad: int) -> np.ndarray:
+    """The features (sorted) that lean most to one label, at most MAX_FEATURES, and all identity terms; counted over `sampled` (toxic, features)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = np.zeros((2, SPACE), np.int32)
+        for b in batches:
+            for k, x in zip(b.column("toxic").to_pylist(), b.column("features").to_pylist(), strict=True):
+                f = np.frombuffer(x, np.int32)
+                there[k, f[f < SPACE]] += 1
+        f = np.flatnonzero(there.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (f, there[:, f].sum(axis=0), there[1, f])], names=["feature", "docs", "bad"])
+
+    base = bad / max(1, n)
+    counts = sampled.mapInArrow(count, "feature long, docs long, bad long").groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("bad").alias("bad"))
+    lean = F.abs(F.col("bad") - F.col("docs") * base) / F.sqrt(F.col("docs") * (base * (1 - base)) + 1)
+    best = counts.where(F.col("docs") >= min(LEAST_DOCS, 1 + n // 100)).withColumn("lean", lean).where(F.col("lean") > LEAST_LEAN).orderBy(F.desc("lean"), "feature").limit(MAX_FEATURES)
+    return np.union1d([r["feature"] for r in best.select("feature").collect()], list(TERMS.values())).astype(np.int64)
+
+
 def fit(docs: DataFrame, labels: DataFrame, strength: float = 1.0) -> Model:
     """Learn from labels (doc_id, toxic) whose row isn't held out."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out())
@@ -141,17 +174,30 @@ def fit(docs: DataFrame, labels: DataFrame, strength: float = 1.0) -> Model:
     least = lambda rows, n: rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     sample = least(known.where("toxic = 1"), MAX_TOXIC).unionAll(least(known.where("toxic <> 1"), MAX_CLEAN))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([text_features(t.as_py() or "").tobytes() for t in b.column("text")], pa.binary())], names=["toxic", "features"])
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([text_features(t.as_py()).tobytes() for t in b.column("text")], pa.binary())], names=["toxic", "features"])
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id", F.col("toxic").cast("int").alias("toxic"))), "doc_id")  # at most MAX_TOXIC + MAX_CLEAN rows
-    got = texts.select("toxic", "text").mapInArrow(run, "toxic int, features binary").limit(2 * (MAX_TOXIC + MAX_CLEAN)).toArrow()
-    rows = [np.frombuffer(x, np.int32) for x in got.column("features").to_pylist()]
-    toxic = np.array([float(x == 1) for x in got.column("toxic").to_pylist()])
-    model = train(rows, toxic, strength)
+    told = F.broadcast(sample.select("doc_id", F.col("toxic").cast("int").alias("toxic")))  # at most MAX_TOXIC + MAX_CLEAN rows
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(told, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sampled = cut(texts.select(F.when(F.col("toxic") == 1, 1).otherwise(0).alias("toxic"), "text").mapInArrow(features, "toxic int, features binary"))
+    n, bad = sampled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    slots = _chosen(sampled, n, bad)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for x in b.column("features").to_pylist():
+                f = np.frombuffer(x, np.int32)
+                at = np.minimum(np.searchsorted(slots, f), len(slots) - 1)
+                out.append(at[slots[at] == f].astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(out, pa.binary())], names=["toxic", "places"])
+
+    got = sampled.mapInArrow(places, "toxic int, places binary").toArrow()
+    model = train([np.frombuffer(x, np.uint16) for x in got.column("places").to_pylist()], got.column("toxic").to_numpy(), strength, slots=slots)
+    toxic = np.array([bad, n - bad])
     if model.bias is not None and share.get(0) and share.get(1):
-        model.bias += np.log(share[1] / share[0]) - np.log(toxic.sum() / (1 - toxic).sum())
+        model.bias += np.log(share[1] / share[0]) - np.log(toxic[0] / toxic[1])
     return model
 
 
