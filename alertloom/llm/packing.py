@@ -2,8 +2,8 @@
 
 Documents become token pieces; the plan is made from the counts of each length alone (at most `capacity`
 numbers), by best-fit decreasing over groups of equal bins; pieces then look up their slot by their rank
-within their length. Ranks are counted in SALTS parts of each length, so a length that most pieces share
-is ranked by many tasks; what reaches the driver is at most capacity * SALTS counts, whatever the input.
+within their length. Ranks are counted in parts of each length (SALTS, or the shuffle partitions, MOST_SALTS at most), so a length that most pieces share
+is ranked by many tasks; what reaches the driver is at most capacity * MOST_SALTS counts, whatever the input.
 
 Defined cases: null text is empty (one piece, the closing id); a null doc_id is kept and ranks like any
 other id; repeated rows are packed as often as they stand there; an empty table gives an empty result;
@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, parts, table
 
-CAPACITY, SALTS, CLOSING = 2048, 64, b"\0\0\0\0"
+CAPACITY, SALTS, MOST_SALTS, CLOSING = 2048, 64, 1024, b"\0\0\0\0"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
 
-PROBES = ("Hello  world's\n\n \tfoo_bar 1234 (x) \u00e9\u00df\u4e2d\u6587 \U0001f600\u200d ", "  leading, I'll they've 'S \u00a0\u3000x <|endoftext|>")
+PROBES = ("Hello  world's\n\n \tfoo_bar 1234 (x) \u00e9\u00df\u4e2d\u6587 \U0001f600\u200d ", "  leading, I'll they've 'S \u00a0\u3000x")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -39,17 +39,18 @@ def _byte_letters() -> dict[str, int]:
 
 
 class TextIds:
-    """Ids of a text by a `tokenizers` file, as little-endian 32-bit bytes; special strings in a text are ordinary text.
+    """Ids of a text by a `tokenizers` file with add_special_tokens=False, as little-endian 32-bit bytes.
 
     A byte-level BPE whose ids are its merge ranks is run by tiktoken from the same vocabulary, which is
-    several times as fast; any other, and any text that tiktoken refuses, by `tokenizers` itself.
+    several times as fast; any other, any text that holds the string of an added token, and any text that
+    tiktoken refuses, by `tokenizers` itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.fast = self._ranks()
         if self.fast and any(self.fast.encode_ordinary(p) != self._slow(p) for p in PROBES):
             self.fast = None
@@ -64,14 +65,13 @@ class TextIds:
         letters = _byte_letters()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         ranks = {bytes(map(letters.__getitem__, t)): i for t, i in vocabulary.items() if all(c in letters for c in t)}
-        added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
-        ranks = {t: i for t, i in ranks.items() if t.decode("utf-8", "replace") not in added}
+        ranks = {t: i for t, i in ranks.items() if t.decode("utf-8", "replace") not in self.added}
         if sorted(ranks.values()) != list(range(len(ranks))):
             return None
         return tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> bytes:
-        if self.fast:
+        if self.fast and not any(a in text for a in self.added):
             try:
                 return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
             except (ValueError, RuntimeError, OverflowError):  # a run of blanks too long for its pattern
@@ -143,8 +143,9 @@ def plan_slots(counts: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces with sequence_id and offset. Writes the pieces once to the scratch folder, as they are read twice."""
     spark = pieces.sparkSession
-    pieces = cut(pieces).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-    many = np.zeros((capacity + 1, SALTS), np.int64)
+    salts = min(MOST_SALTS, max(SALTS, parts(spark)))
+    pieces = cut(pieces).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    many = np.zeros((capacity + 1, salts), np.int64)
     for r in pieces.groupBy("length", "salt").count().toLocalIterator():
         many[r["length"], r["salt"]] = r["count"]
     before = np.cumsum(many, axis=1) - many
