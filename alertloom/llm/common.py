@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,6 +106,32 @@ def runs_of(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     return out
 
 
+def dealt(bucket: np.ndarray, shares: int, columns: list[np.ndarray], packs: list) -> list[tuple]:
+    """(share, packed columns) for rows sorted by bucket."""
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(shares + 1))
+    columns = [c[order] for c in columns]
+    return [(p, *(f(c[lo:hi]) for f, c in zip(packs, columns, strict=True))) for p, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)) if hi > lo]
+
+
+def raw(dtype: str):
+    return lambda a: a.astype(dtype).tobytes()
+
+
+KINDS = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
+
+
+def packed_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    cols = list(zip(*rows, strict=True)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, KINDS[k]) for c, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def flat(schema: str, *columns: np.ndarray) -> pa.Table:
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({n: pa.array(c.astype({"long": np.int64, "int": np.int32}[k])) for (n, k), c in zip(fields, columns, strict=True)})
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that an edge names.
 

@@ -1,19 +1,28 @@
-"""Substring dedup: repeats of at least `window` words across documents, by prefix-partitioned suffixes.
-
-Every word starts a suffix. Two suffixes that agree for `window` words meet in the node at that depth of
-the suffix tree, so a window's first holder is the least document below its node. The tree is never built
-whole: each suffix is filed under a prefix of variable length that its own content picks (from its start to
-the end of the least STEP-word hash within the window, its anchor), and anchors are dealt to groups that fit
-in memory. Prefixes that only one document holds can't lead to a repeat and are dropped first; below the
-others, each group's suffixes are sorted by the hash of their window (96 bits), runs of equal ones being
-the deep internal nodes. Adjoining windows make the maximal repeats.
-
-What many documents share is summed up before it moves: within each slice of documents only the least
-holder of a window goes on, the others are settled where they are.
-
-Defined cases: null text has no words; a null doc_id counts as the smallest; rows that repeat a doc_id are
-no repeats of each other, but each row loses what a smaller id holds; texts shorter than the window stay;
-an empty table gives an empty result; other columns are ignored, or kept by `dedup_substrings`.
+"""Substring dedup: repeats of at least `window` words across documents, by prefix-partitioned suffix trees.
+
+Every word starts a suffix. The suffix tree of a corpus is never built whole: suffixes are split by a prefix of
+variable length, and each part's subtree is built by itself, in memory.
+
+1. Prefixes are counted. A suffix's shortest prefix ends with its anchor, the least hash of STEP adjacent words
+   within its first `window` words, so that neighbouring suffixes share an anchor and travel as one stretch of
+   text. Anchors that one document alone holds lead to no repeat and leave. The others' suffixes are counted.
+2. From the counts follows the number of parts: as many as bring a part's text to GROUP_BYTES. A prefix of more
+   than HOT_LOAD suffixes is lengthened to the whole window; such prefixes are found by a bitmap of fixed size.
+3. A part's words are numbered in sorted order (words themselves are compared), its suffixes are sorted by
+   prefix doubling, and the common lengths of neighbours give the tree's internal nodes. Below a node of depth
+   `window` or more stand the holders of a repeat: all but the least lose it.
+4. Below a lengthened prefix stands one node, so its least holder is a grouped minimum with partial sums.
+Adjoining starts make the maximal repeats (`maximal_repeats`).
+
+What several documents of a slice of text hold is summed up before it moves: only the least holder of a window
+goes on, the others are settled where they are. There and below lengthened prefixes windows are told apart by
+96 and 128 bits of hash: among 10**13 windows the odds of one false pair are 6e-4 within all slices of 10**6
+words (10**7 slices of 5e11 pairs each over 2**96 is 6e-11 a slice), and under 1e-12 in all.
+
+Defined cases: null text has no words; a null doc_id counts as the smallest (as would the id -2**63, which
+comes back null); rows that repeat a doc_id are no repeats of each other, but each row loses what a smaller id
+holds; texts shorter than the window stay; an empty table gives an empty result; other columns are ignored, or
+kept by `dedup_substrings`.
 """
 
 from __future__ import annotations
@@ -27,13 +36,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_back, id_column, mix, parts, runs_of, table
+from .common import cut, dealt, flat, id_back, id_column, mix, packed_batch, parts, raw, runs_of, table
 from .words import Slice, pack_longs, slices, unpack_longs
 
 WINDOW, STEP = 13, 4
-FILED = "p int, settled boolean, anchors binary, ids binary, many binary"
-NODES = "p int, settled boolean, anchors binary, ids binary, tags binary, starts binary, counts binary, windows binary, checks binary"
-HELD, GONE = "_id long, anchor long", "_id long, tag int, start int, len int"
+#: Text of a part's suffixes, aimed at; a suffix moves about so many bytes.
+GROUP_BYTES, SUFFIX_BYTES = 8 << 20, 24
+#: A prefix with more suffixes is lengthened to the window.
+HOT_LOAD, HOT_BITS = 1 << 15, 1 << 23
+#: Anchors that a task gathers before it sums them up.
+GATHERED = 2_000_000
+FILED = "p int, settled boolean, anchors binary, ids binary, many binary, loads binary"
+HELD = "_id long, anchor long, load long"
+NODES = "p int, settled boolean, ids binary, tags binary, starts binary, counts binary, words binary, w long, v long, _id long, tag long, start int"
+GONE = "_id long, tag long, start int, len int"
 
 
 def anchors_of(s: Slice, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,56 +65,54 @@ def anchors_of(s: Slice, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return at[ok], place[ok], steps[place[ok]]
 
 
-def _dealt(bucket: np.ndarray, shares: int, columns: list[np.ndarray], packs: list) -> list[tuple]:
-    """(share, packed columns) for rows sorted by bucket."""
-    order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(shares + 1))
-    columns = [c[order] for c in columns]
-    return [(p, *(f(c[lo:hi]) for f, c in zip(packs, columns, strict=True))) for p, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)) if hi > lo]
-
-
-def _raw(dtype: str):
-    return lambda a: a.astype(dtype).tobytes()
-
-
-def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
-    fields = [f.split() for f in schema.split(", ")]
-    cols = list(zip(*rows, strict=True)) or [[]] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
-
-
-def _flat(schema: str, *columns: np.ndarray) -> pa.Table:
-    fields = [f.split() for f in schema.split(", ")]
-    return pa.table({n: pa.array(c.astype({"long": np.int64, "int": np.int32}[k])) for (n, k), c in zip(fields, columns, strict=True)})
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Places where rows differ from the row before in some column."""
+    n = len(columns[0])
+    new = np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))[:n] if n else np.empty(0, bool)
+    return np.flatnonzero(new)
 
 
 def _file(window: int, shares: int):
-    """Each slice's anchors with the documents that hold them; those that several documents of the slice hold are settled."""
+    """Anchors with the documents that hold them and the suffixes below; what several documents of a task hold is settled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, _ in slices(batches, False):
-            _, place, _ = anchors_of(s, window)
-            place = np.unique(place)
-            anchor, doc = runs_of(s.hashes, STEP)[place], s.ids[s.doc[place]]
+        gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def summed() -> pa.RecordBatch:
+            anchor, doc, load = (np.concatenate(x) for x in zip(*gathered, strict=True))
+            gathered.clear()
             order = np.lexsort((doc, anchor))
-            anchor, doc = anchor[order], doc[order]
-            new = np.append(True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))[: len(anchor)]
-            anchor, doc = anchor[new], doc[new]
-            head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])[: len(anchor)])
+            anchor, doc, load = anchor[order], doc[order], load[order]
+            if not len(anchor):
+                return packed_batch([], FILED)
+            at = _heads(anchor, doc)
+            anchor, doc, load = anchor[at], doc[at], np.add.reduceat(load, at)
+            head = _heads(anchor)
             size = np.diff(np.append(head, len(anchor)))
-            many = np.repeat(size > 1, size)
-            out = [(p, False, *r) for p, *r in _dealt((anchor[head] % np.uint64(shares)).astype(np.int64), shares, [anchor[head], doc[head], size > 1], [_raw("<u8"), pack_longs, _raw("u1")])]
-            out += [(p, True, *r, b"") for p, *r in _dealt(doc[many] % shares, shares, [anchor[many], doc[many]], [_raw("<u8"), pack_longs])]
-            yield _batch(out, FILED)
+            several = np.repeat(size > 1, size)
+            out = [(p, False, *r) for p, *r in dealt((anchor[head] % np.uint64(shares)).astype(np.int64), shares, [anchor[head], doc[head], size > 1, np.add.reduceat(load, head)], [raw("<u8"), pack_longs, raw("u1"), pack_longs])]
+            out += [(p, True, *r, b"", b"") for p, *r in dealt(doc[several] % shares, shares, [anchor[several], doc[several]], [raw("<u8"), pack_longs])]
+            return packed_batch(out, FILED)
+
+        size = 0
+        for s, _ in slices(batches, False):
+            _, place, anchor = anchors_of(s, window)
+            place, first, load = np.unique(place, return_index=True, return_counts=True)
+            gathered.append((anchor[first], s.ids[s.doc[place]], load))
+            size += len(place)
+            if size > GATHERED:
+                yield summed()
+                size = 0
+        if gathered:
+            yield summed()
 
     return run
 
 
-def _shared(t: pa.Table) -> pa.Table:
-    """Documents and anchors that more than one document holds, from all filed rows of a share."""
-    anchors, ids, many, done_anchor, done_id = [], [], [], [], []
-    for settled, a, i, m in zip(*(t.column(c).to_pylist() for c in ("settled", "anchors", "ids", "many")), strict=True):
+def _shared(t: pa.Table, hot_load: int) -> pa.Table:
+    """(document, anchor) for anchors that more than one document holds; (null, anchor, load) for those of many suffixes; (null, null, load) of all."""
+    anchors, ids, many, loads, done_anchor, done_id = [], [], [], [], [], []
+    for settled, a, i, m, n in zip(*(t.column(c).to_pylist() for c in ("settled", "anchors", "ids", "many", "loads")), strict=True):
         if settled:
             done_anchor.append(np.frombuffer(a, "<u8"))
             done_id.append(unpack_longs(i))
@@ -106,23 +120,35 @@ def _shared(t: pa.Table) -> pa.Table:
             anchors.append(np.frombuffer(a, "<u8"))
             ids.append(unpack_longs(i))
             many.append(np.frombuffer(m, "u1").astype(bool))
+            loads.append(unpack_longs(n))
+    hot, hot_n, total = np.empty(0, np.uint64), np.empty(0, np.int64), 0
     if anchors:
-        anchor, doc, more = np.concatenate(anchors), np.concatenate(ids), np.concatenate(many)
+        anchor, doc, more, load = np.concatenate(anchors), np.concatenate(ids), np.concatenate(many), np.concatenate(loads)
         order = np.lexsort((doc, anchor))
-        anchor, doc, more = anchor[order], doc[order], more[order]
-        head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        anchor, doc, more, load = anchor[order], doc[order], more[order], load[order]
+        head = _heads(anchor)
         size = np.diff(np.append(head, len(anchor)))
-        last = head + size - 1
-        held = np.repeat((doc[head] != doc[last]) | np.logical_or.reduceat(more, head), size) & ~more
+        shared = (doc[head] != doc[head + size - 1]) | np.logical_or.reduceat(more, head)
+        held = np.repeat(shared, size) & ~more
         done_anchor.append(anchor[held])
         done_id.append(doc[held])
-    return _flat(HELD, np.concatenate(done_id), np.concatenate(done_anchor).view(np.int64))
+        load = np.add.reduceat(load, head)
+        total = int(load[shared].sum())
+        heavy = shared & (load > hot_load)
+        hot, hot_n = anchor[head][heavy], load[heavy]
+    a, i = np.concatenate([x.astype(np.uint64) for x in done_anchor]), np.concatenate(done_id)
+    column = lambda x, there: pa.array(x.astype(np.int64), mask=~there)
+    n, k = len(a), len(hot)
+    place = np.arange(n + k + 1)
+    anchor = np.concatenate([a, hot, np.zeros(1, np.uint64)]).view(np.int64)
+    return pa.table({"_id": column(np.concatenate([i, np.zeros(k + 1, np.int64)]), place < n), "anchor": column(anchor, place < n + k), "load": column(np.concatenate([np.zeros(n, np.int64), hot_n, [total]]), place >= n)})
 
 
-def _suffixes(window: int, shares: int):
-    """Windows below shared anchors: settled where the slice holds a smaller document, else filed in runs (one anchor, adjoining starts)."""
+def _suffixes(window: int, shares: int, groups: int, hot):
+    """Suffixes below shared anchors: settled where the slice holds a smaller document, else in stretches of text, or one by one where the prefix is lengthened."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = np.frombuffer(hot.value, np.uint8) if hot else None
         for s, (held, tags) in slices(batches, False, ("held", "tag")):
             start, place, anchor = anchors_of(s, window)
             doc = s.doc[start]
@@ -132,75 +158,121 @@ def _suffixes(window: int, shares: int):
             wanted = np.concatenate([np.array(h, np.int64).view(np.uint64) for h in held if h]) ^ mix(np.repeat(np.arange(len(held)), sizes).astype(np.uint64))
             ok = np.isin(anchor ^ mix(doc.astype(np.uint64)), wanted)
             start, place, anchor, doc = start[ok], place[ok], anchor[ok], doc[ok]
-            w, check = runs_of(s.hashes, window)[start], runs_of(s.hashes, window, 1)[start] >> np.uint64(32)
+            w, v = runs_of(s.hashes, window)[start], runs_of(s.hashes, window, 1)[start]
             ids = s.ids[doc]
-            order = np.lexsort((ids, check, w))
-            ws, cs, di = w[order], check[order], ids[order]
-            head = np.append(True, (ws[1:] != ws[:-1]) | (cs[1:] != cs[:-1]))[: len(ws)]
-            least = np.repeat(di[head], np.diff(np.append(np.flatnonzero(head), len(ws))))
-            gone = np.zeros(len(ws), bool)
-            gone[order] = di > least
-            tag = np.array(tags, np.int64)
+            order = np.lexsort((ids, v >> np.uint64(32), w))
+            head = _heads(w[order], v[order] >> np.uint64(32))
+            least = np.repeat(ids[order][head], np.diff(np.append(head, len(order))))
+            gone = np.zeros(len(order), bool)
+            gone[order] = ids[order] > least
+            tag = np.array(tags, np.int64)[doc]
             local = start - s.first[doc]
-            out = [(p, True, b"", *r, b"", b"") for p, *r in _runs(ids[gone], tag[doc[gone]], local[gone], np.zeros(gone.sum(), np.int64), doc[gone], shares)]
-            k = ~gone
-            new = np.append(True, (doc[k][1:] != doc[k][:-1]) | (place[k][1:] != place[k][:-1]) | (start[k][1:] != start[k][:-1] + 1))[: k.sum()]
-            run_of = np.cumsum(new) - 1
-            first = np.flatnonzero(new)
-            count = np.bincount(run_of, minlength=len(first))
-            bucket = (anchor[k][first] % np.uint64(shares)).astype(np.int64)
-            by_run = np.argsort(bucket, kind="stable")
-            rows = _dealt(bucket, shares, [anchor[k][first], ids[k][first], tag[doc[k][first]], local[k][first], count], [_raw("<u8"), pack_longs, _raw("<i4"), _raw("<u4"), _raw("<u2")])
-            spread = np.repeat(np.cumsum(count)[by_run] - count[by_run], count[by_run]) + np.arange(count.sum()) - np.repeat(np.cumsum(count[by_run]) - count[by_run], count[by_run])
-            per = np.bincount(bucket, count, minlength=shares).astype(np.int64)
-            stop = dict(enumerate(np.cumsum(per).tolist()))
-            wk, ck = w[k][spread], check[k][spread].astype("<u4")
-            out += [(p, False, *r, wk[stop[p] - per[p] : stop[p]].tobytes(), ck[stop[p] - per[p] : stop[p]].tobytes()) for p, *r in rows]
-            yield _batch(out, NODES)
+            out = _settled(ids[gone], tag[gone], local[gone], doc[gone], shares)
+            keep = ~gone
+            if dense is not None:
+                slot = anchor % np.uint64(HOT_BITS)
+                many = keep & ((dense[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1) > 0)
+                out += [(-1, False, None, None, None, None, None, *r) for r in zip(w[many].view(np.int64).tolist(), v[many].view(np.int64).tolist(), ids[many].tolist(), tag[many].tolist(), local[many].tolist(), strict=True)]
+                keep &= ~many
+            k = np.flatnonzero(keep)
+            if len(k):
+                first = k[_heads(doc[k], place[k], start[k] - np.arange(len(k)))]
+                count = np.diff(np.append(np.searchsorted(k, first), len(k)))
+                last = start[first] + count + window - 2  # the last word of each stretch
+                after = np.append(s.at, len(s.text))[last + 1]
+                texts = np.empty(len(first), object)
+                texts[:] = [s.text[a:b] for a, b in zip(s.at[start[first]].tolist(), after.tolist(), strict=True)]
+                rows = dealt((mix(anchor[first]) % np.uint64(groups)).astype(np.int64), groups, [ids[first], tag[first], local[first], count, texts], [pack_longs, raw("<i8"), raw("<u4"), raw("<u4"), lambda x: b" ".join(x.tolist())])
+                out += [(p, False, *r, None, None, None, None, None) for p, *r in rows]
+            yield packed_batch(out, NODES)
 
     return run
 
 
-def _runs(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, extra: np.ndarray, doc: np.ndarray, shares: int) -> list[tuple]:
-    """Adjoining starts of a document as (share, ids, tags, starts, counts)."""
+def _settled(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, doc: np.ndarray, shares: int) -> list[tuple]:
+    """Adjoining starts of a document as rows of NODES."""
     if not len(ids):
         return []
-    new = np.append(True, (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1] + 1))
-    first = np.flatnonzero(new)
+    first = _heads(doc, starts - np.arange(len(starts)))
     count = np.diff(np.append(first, len(ids)))
-    return _dealt(ids[first] % shares, shares, [ids[first], tags[first], starts[first], count], [pack_longs, _raw("<i4"), _raw("<u4"), _raw("<u4")])
-
-
-def _repeats(t: pa.Table) -> pa.Table:
+    rows = dealt(ids[first] % shares, shares, [ids[first], tags[first], starts[first], count], [pack_longs, raw("<i8"), raw("<u4"), raw("<u4")])
+    return [(p, True, *r, b"", None, None, None, None, None) for p, *r in rows]
+
+
+class Subtree:
+    """The suffixes of some stretches of words, sorted, with the common length of neighbours."""
+
+    def __init__(self, words: list[bytes], lengths: np.ndarray, depth: int):
+        """lengths: words of each stretch; suffixes are told apart for `depth` words at least, and end with their stretch."""
+        number = {w: k for k, w in enumerate(sorted(set(words)))}
+        rank = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        self.left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(words))  # words up to the stretch's end
+        self.levels = [rank]
+        width = 1
+        while width < depth:
+            there = self.left > width
+            behind = np.zeros(len(rank), np.int64)
+            behind[there] = rank[np.flatnonzero(there) + width] + 1
+            _, rank = np.unique(rank * (len(words) + 2) + behind, return_inverse=True)
+            self.levels.append(rank)
+            width *= 2
+
+    def sorted(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """places in the order of their suffixes, and the words that each has in common with the one before it (up to the depth told apart)."""
+        order = places[np.argsort(self.levels[-1][places], kind="stable")]
+        a, b = order[:-1].copy(), order[1:].copy()
+        common = np.zeros(len(a), np.int64)
+        for k in range(len(self.levels) - 1, -1, -1):
+            inside = (common < self.left[order[:-1]]) & (common < self.left[order[1:]])
+            x, y = np.where(inside, a, 0), np.where(inside, b, 0)
+            # a level's numbers are equal too where both stretches end there, so the length is held down below
+            same = inside & (self.levels[k][x] == self.levels[k][y])
+            common += np.where(same, 1 << k, 0)
+            a, b = a + np.where(same, 1 << k, 0), b + np.where(same, 1 << k, 0)
+        common = np.minimum(common, np.minimum(self.left[order[:-1]], self.left[order[1:]]))
+        return order, np.append(0, common)[: len(order)]
+
+
+def _repeats(t: pa.Table, window: int) -> pa.Table:
     """Runs of window starts that a smaller document holds too."""
     done: list[list[np.ndarray]] = [[], [], [], []]
-    todo: list[list[np.ndarray]] = [[], [], [], [], [], [], []]
-    for settled, a, i, g, s, c, w, v in zip(*(t.column(n).to_pylist() for n in ("settled", "anchors", "ids", "tags", "starts", "counts", "windows", "checks")), strict=True):
-        ids, tags, starts = unpack_longs(i), np.frombuffer(g, "<i4"), np.frombuffer(s, "<u4").astype(np.int64)
-        if settled:
-            for to, x in zip(done, (ids, tags, starts, np.frombuffer(c, "<u4").astype(np.int64)), strict=True):
-                to.append(x)
-            continue
-        count = np.frombuffer(c, "<u2").astype(np.int64)
-        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        for to, x in zip(todo, (np.repeat(ids, count), np.repeat(tags, count), np.repeat(starts, count) + within, np.repeat(np.frombuffer(a, "<u8"), count), np.frombuffer(w, "<u8"), np.frombuffer(v, "<u4"), np.repeat(np.arange(len(count)), count)), strict=True):
+    todo: list[list[np.ndarray]] = [[], [], [], []]
+    words: list[bytes] = []
+    for settled, i, g, s, c, text in zip(*(t.column(n).to_pylist() for n in ("settled", "ids", "tags", "starts", "counts", "words")), strict=True):
+        for to, x in zip(done if settled else todo, (unpack_longs(i), np.frombuffer(g, "<i8"), np.frombuffer(s, "<u4").astype(np.int64), np.frombuffer(c, "<u4").astype(np.int64)), strict=True):
+            to.append(x)
+        words += text.split()
+    if words:
+        ids, tags, starts, counts = (np.concatenate(x) for x in todo)
+        run = np.repeat(np.arange(len(counts)), counts)
+        within = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
+        lengths = counts + window - 1
+        order, common = Subtree(words, lengths, window).sorted((np.cumsum(lengths) - lengths)[run] + within)
+        # a node of this depth or more: neighbours that have a window in common
+        node = np.flatnonzero(common < window)
+        stretch = np.repeat(np.arange(len(lengths)), lengths)[order]
+        least = np.repeat(np.minimum.reduceat(ids[stretch], node), np.diff(np.append(node, len(order))))
+        gone = np.zeros(len(words), bool)
+        gone[order] = ids[stretch] > least
+        gone = gone[(np.cumsum(lengths) - lengths)[run] + within]
+        run, start = run[gone], (starts[run] + within)[gone]
+        first = _heads(run, start - np.arange(len(start)))
+        for to, x in zip(done, (ids[run][first], tags[run][first], start[first], np.diff(np.append(first, len(start)))), strict=True):
             to.append(x)
-    if todo[0]:
-        ids, tags, starts, anchor, w, v, _ = (np.concatenate(x) for x in todo)
-        order = np.lexsort((ids, v, w, anchor))
-        a2, w2, v2, i2 = anchor[order], w[order], v[order], ids[order]
-        head = np.append(True, (a2[1:] != a2[:-1]) | (w2[1:] != w2[:-1]) | (v2[1:] != v2[:-1]))
-        at = np.flatnonzero(head)
-        gone = np.zeros(len(ids), bool)
-        gone[order] = i2 > np.repeat(i2[at], np.diff(np.append(at, len(i2))))
-        ids, tags, starts = ids[gone], tags[gone], starts[gone]
-        if len(ids):
-            new = np.append(True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]) | (starts[1:] != starts[:-1] + 1))
-            first = np.flatnonzero(new)
-            for to, x in zip(done, (ids[first], tags[first], starts[first], np.diff(np.append(first, len(ids)))), strict=True):
-                to.append(x)
-    cols = [np.concatenate(x) if x else np.empty(0, np.int64) for x in done]
-    return _flat(GONE, *cols)
+    return flat(GONE, *(np.concatenate(x) if x else np.empty(0, np.int64) for x in done))
+
+
+def _dense(shared: DataFrame):
+    """A bitmap of the anchors with more than HOT_LOAD suffixes (HOT_BITS bits; some others may be let in), broadcast; None without any."""
+    slot = F.pmod("anchor", F.lit(HOT_BITS))
+    number = F.floor(slot / 32768).cast("int")
+    rows = shared.where("_id is null and anchor is not null").select(number.alias("b"), (slot % 32768).alias("s")).groupBy("b").agg(F.bitmap_construct_agg("s").alias("m")).collect()  # at most HOT_BITS / 32768 rows of 4 KB
+    if not rows:
+        return None
+    whole = np.zeros(HOT_BITS // 8, np.uint8)
+    for r in rows:
+        whole[4096 * r["b"] : 4096 * (r["b"] + 1)] = np.frombuffer(r["m"], np.uint8)
+    return shared.sparkSession.sparkContext.broadcast(whole.tobytes())
 
 
 def repeat_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -211,15 +283,40 @@ def repeat_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataF
     if window < STEP:
         raise ValueError(f"a window has at least {STEP} words")
     shares = 4 * parts(docs.sparkSession)
-    rows = docs.withColumns({"_id": id_column("doc_id"), "tag": F.hash(F.coalesce("text", F.lit("")))})
+    rows = docs.withColumns({"_id": id_column("doc_id"), "tag": F.xxhash64(F.coalesce("text", F.lit("")))})
     texts = rows.select("_id", "tag", "text")
+    hot_load = HOT_LOAD
     filed = texts.select("_id", "text").mapInArrow(_file(window, shares), FILED)
-    held = filed.groupBy("p").applyInArrow(_shared, HELD).groupBy("_id").agg(F.collect_list("anchor").alias("held"))
-    nodes = texts.join(held, "_id", "left").select("_id", "tag", "text", "held").mapInArrow(_suffixes(window, shares), NODES)
-    gone = nodes.groupBy("p").applyInArrow(_repeats, GONE)
+    shared = cut(filed.groupBy("p").applyInArrow(lambda t: _shared(t, hot_load), HELD))
+    load = shared.where("_id is null and anchor is null").agg(F.sum("load")).first()[0] or 0
+    groups = max(1, -(-load * SUFFIX_BYTES // GROUP_BYTES))
+    held, dense = shared.where("_id is not null").groupBy("_id").agg(F.collect_list("anchor").alias("held")), _dense(shared)
+    nodes = texts.join(held, "_id", "left").select("_id", "tag", "text", "held").mapInArrow(_suffixes(window, shares, groups, dense), NODES)
+    if dense:
+        nodes = cut(nodes)
+    gone = nodes.where("p >= 0").select(*[c.split()[0] for c in NODES.split(", ")[:7]]).groupBy("p").applyInArrow(lambda t: _repeats(t, window), GONE)
+    if dense:
+        each = nodes.where("p < 0").select("w", "v", "_id", "tag", "start")
+        least = each.groupBy("w", "v").agg(F.min("_id").alias("least"))
+        gone = gone.unionAll(each.join(least, ["w", "v"]).where("_id > least").select("_id", "tag", "start", F.lit(1).alias("len")))
     return rows, gone.groupBy("_id").agg(F.collect_list(F.struct("tag", "start", "len")).alias("gone"))
 
 
+def maximal_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, start, n_words): for each row, the longest stretches of words all of whose windows a smaller document holds too."""
+    rows, gone = repeat_runs(docs, window)
+    runs = rows.select("_id", "tag").join(gone, "_id").select("_id", F.array_sort(F.transform(_own(), lambda r: F.struct(r["start"].alias("start"), (r["start"] + r["len"]).alias("stop")))).alias("runs"))
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+
+    def joined(done: F.Column, r: F.Column) -> F.Column:
+        last = F.element_at(done, -1)
+        longer = F.array(F.struct(last["start"].alias("start"), F.greatest(last["stop"], r["stop"]).alias("stop")))
+        return F.when((F.size(done) > 0) & (F.get(done, F.size(done) - 1)["stop"] >= r["start"]), F.concat(F.slice(done, 1, F.size(done) - 1), longer)).otherwise(F.concat(done, F.array(r)))
+
+    merged = runs.where("runs is not null").select("_id", F.explode(F.aggregate("runs", none, joined)).alias("r"))
+    return merged.select(id_back("_id").alias("doc_id"), F.col("r.start").cast("long").alias("start"), (F.col("r.stop") - F.col("r.start") + window - 1).cast("long").alias("n_words"))
+
+
 def _own(gone: str = "gone") -> F.Column:
     """The runs of a row's own text; null if there are none."""
     runs = F.filter(gone, lambda r: r["tag"] == F.col("tag"))
@@ -247,7 +344,7 @@ def _digests(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [(i, len(w), len(w) - len(k), hashlib.sha256(b" ".join(k)).hexdigest()) for i, (w, k) in zip(b.column("_id").to_pylist(), _read_texts(b, window), strict=True)]
-            yield _batch(rows, "_id long, n_words long, n_removed long, kept_sha256 string")
+            yield packed_batch(rows, "_id long, n_words long, n_removed long, kept_sha256 string")
 
     return run
 

@@ -64,8 +64,10 @@ class Slice:
 
     def __init__(self, ids: list[int], texts: list[bytes], lower: bool):
         self.ids = np.array(ids, np.int64)
-        whole = np.frombuffer(b"\n".join(texts), np.uint8)
+        self.text = b"\n".join(texts)
+        whole = np.frombuffer(self.text, np.uint8)
         at, self.hashes = word_hashes(_LOWER[whole] if lower else whole)
+        self.at = at
         stops = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))
         self.doc = np.searchsorted(stops, at, "right")
         self.counts = np.bincount(self.doc, minlength=len(ids))

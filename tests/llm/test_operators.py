@@ -100,6 +100,31 @@ def test_toxicity_query(spark, docs, empty):
     assert toxicity.fit(empty, labels.limit(0)).bias is None
 
 
+def test_toxicity_fit_with_repeated_ids_and_a_long_text(spark):
+    ship(spark)
+    n = 200
+    text = [(k, f"word{k % 7} other{k % 11} {'idiot' if k % 5 == 0 else 'kind'}") for k in range(n)]
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(n)], "doc_id long, toxic int")
+    once = spark.createDataFrame([*text, (1, "a" * 5_000_000), (None, "no id")], "doc_id long, text string")
+    often = spark.createDataFrame([*text, *[(1, "zz later text")] * 50, *[(5, "zz later text")] * 50, (1, "a" * 5_000_000), (None, "no id")], "doc_id long, text string")
+    a, b = toxicity.fit(once, labels), toxicity.fit(often.repartition(7), labels)
+    assert a.bias == b.bias and a.weights == b.weights  # the least text of an id is the one that counts
+    got = {r.text: r.score for r in toxicity.with_score(once, a).collect()}
+    for t in [t for _, t in text] + ["a" * 5_000_000, "no id"]:
+        plain = a.bias + sum(w for f, w in a.weights.items() if f in set(toxicity.text_features(t).tolist()))
+        assert abs(got[t] - 1 / (1 + np.exp(-plain))) < 1e-9
+
+
+def test_toxicity_portions_change_nothing(monkeypatch):
+    rng = np.random.default_rng(5)
+    feats, toxic = [np.unique(rng.integers(0, 90, rng.integers(0, 30))).astype(np.int32) for _ in range(60)], rng.integers(0, 2, 60)
+    feats[3] = np.append(feats[3], np.int32(toxicity.TERMS["muslim"]))
+    whole = toxicity.train(feats, toxic, rounds=30)
+    monkeypatch.setattr(toxicity, "PORTION", 50)
+    parts = toxicity.train(feats, toxic, rounds=30)
+    assert whole.weights.keys() == parts.weights.keys() and all(abs(parts.weights[k] - w) < 1e-6 for k, w in whole.weights.items())
+
+
 # 2
 
 
@@ -182,6 +207,44 @@ def test_similar_equals_brute_force(spark, docs, empty):
     assert similar.ngram_components(empty).count() == 0
 
 
+def near_copies(n, seed):
+    rng = np.random.default_rng(seed)
+    bases = [[f"b{b}x{k}" for k in range(90)] for b in range(3)]
+    out = []
+    for k in range(n):
+        words = list(bases[k % 3])
+        for _ in range(int(rng.integers(0, 9))):
+            words[rng.integers(0, len(words))] = f"n{rng.integers(0, 10**6)}"
+        out.append((1000 + k, " ".join(words)))
+    return out
+
+
+def test_similar_with_dealt_cells_and_hot_shingles(spark, monkeypatch):
+    ship(spark)
+    data = [*near_copies(150, 8), *((5000 + k, near_copies(3, 9)[k % 3][1]) for k in range(30)), (1000, A), (None, B), (None, B + " end")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    comp, sets = brute_components(data, 4, 85, 100)
+    assert len({comp[i] for i, _ in data if i and 1000 < i < 1150}) > 3  # not all of them are linked
+    back = lambda i: None if i == -(2**63) else i
+    want = sorted(((back(i), len(s), back(comp[i])) for i, s in sets), key=repr)
+    for docs, shingles_, hot in ((10, 1 << 22, 1 << 16), (2048, 2000, 1 << 16), (16, 1 << 22, 5)):
+        monkeypatch.setattr(similar, "CELL_DOCS", docs)
+        monkeypatch.setattr(similar, "CELL_SHINGLES", shingles_)
+        monkeypatch.setattr(similar, "HOT", hot)
+        assert rows(similar.ngram_components(df, 4, 85, 100), "doc_id", "n_shingles", "component_id") == want
+
+
+def test_partnered_keeps_what_fits():
+    rng = np.random.default_rng(12)
+    h, n = np.sort(rng.integers(0, 40, 400)), rng.integers(1, 40, 400)
+    order = np.lexsort((n, h))
+    h, n = h[order], n[order]
+    place = rng.integers(0, n)
+    got = similar.partnered(h, n, place, 80, 100)
+    fits = lambda x, y: h[x] == h[y] and 80 * max(n[x], n[y]) <= 100 * min(n[x], n[y]) and 180 * min(n[x] - place[x], n[y] - place[y]) >= 80 * (n[x] + n[y])
+    assert got.tolist() == [any(x != y and fits(x, y) for y in range(400)) for x in range(400)]
+
+
 def test_keep_one_drops_near_copies_only(spark):
     ship(spark)
     c = " ".join(f"gamma{k}" for k in range(60))
@@ -261,7 +324,8 @@ def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(BYTES)
-    t.encode_special_tokens = True
+    docs = docs.unionByName(docs.limit(1).withColumns({"doc_id": F.lit(30).cast("long"), "text": F.lit("hello <|endoftext|> x<|endoftext|><|endof")}))
+    DOCS = [*globals()["DOCS"], (30, "hello <|endoftext|> x<|endoftext|><|endof")]
     for cap in (2048, 16):
         want = []
         for i, text in DOCS:
@@ -279,6 +343,18 @@ def test_packing(spark, docs, empty):
     assert packing.pack(empty, BYTES).count() == 0
 
 
+def test_ids_equal_the_tokenizer_over_a_table():
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()]
+    texts += [" " * 3_000_000, "a" * 200_000, "\u00a0\u3000 x\r\n\t\t", "\U0001f468\u200d\U0001f469 'LL 'll", "1234567 ½ ² ٣"]
+    t, mine = Tokenizer.from_file(BYTES), packing.text_ids(BYTES)
+    assert mine.fast
+    for text, e in zip(texts, t.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(mine.ids(text), "<u4").tolist() == e.ids
+
+
 def test_plan_is_best_fit_decreasing():
     rng = np.random.default_rng(6)
     for _ in range(30):
@@ -333,6 +409,42 @@ def test_substrings(spark, docs, window):
     assert rows(substrings.substring_digests(df, window), "doc_id", "n_words", "n_removed", "kept_sha256") == brute_substrings(data, window)
 
 
+@pytest.mark.parametrize("window", [13, 4])
+def test_substrings_below_lengthened_prefixes(spark, monkeypatch, window):
+    ship(spark)
+    rng = np.random.default_rng(13)
+    passage = [f"p{k}" for k in range(30)]
+    data = [*DOCS, (None, A), *((300 + k, " ".join([*(f"u{x}" for x in rng.integers(0, 9**6, 7)), *passage[rng.integers(0, 5) :], *(f"t{x}" for x in rng.integers(0, 3, 40))])) for k in range(40))]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(6)
+    for load, size in ((10, 8 << 20), (10**9, 500)):
+        monkeypatch.setattr(substrings, "HOT_LOAD", load)
+        monkeypatch.setattr(substrings, "GROUP_BYTES", size)
+        monkeypatch.setattr(substrings, "GATHERED", 300)
+        assert rows(substrings.substring_digests(df, window), "doc_id", "n_words", "n_removed", "kept_sha256") == brute_substrings(data, window)
+
+
+def test_maximal_repeats(spark):
+    ship(spark)
+    p, q = [f"p{k}" for k in range(70)], [f"q{k}" for k in range(20)]
+    data = [(1, " ".join(["a", *p, "b", *q])), (2, " ".join(["c", "d", *p[5:65], "e", *q[:12]])), (3, " ".join([*q, "f", "g", *p])), (4, "no repeat here")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    want = [(2, 2, 60), (3, 0, 20), (3, 22, 70)]
+    assert rows(substrings.maximal_repeats(df, 13), "doc_id", "start", "n_words") == want
+
+
+def test_subtree_orders_suffixes():
+    rng = np.random.default_rng(14)
+    lengths = rng.integers(1, 30, 40)
+    words = [f"{x}".encode() for x in rng.integers(0, 3, lengths.sum())]
+    stops = np.repeat(np.cumsum(lengths), lengths)
+    suffix = [tuple(words[k : min(k + 16, stops[k])]) for k in range(len(words))]
+    order, common = substrings.Subtree(words, lengths, 13).sorted(np.arange(len(words)))
+    assert [suffix[k] for k in order] == sorted(suffix)
+    for a, b, n in zip(order, order[1:], common[1:], strict=False):
+        x, y = suffix[a], suffix[b]
+        assert n == next((k for k, (u, v) in enumerate(zip(x, y, strict=False)) if u != v), min(len(x), len(y)))
+
+
 def test_substring_stage_keeps_columns(docs, empty):
     out = substrings.dedup_substrings(docs, 13)
     assert out.columns == docs.columns and out.count() == len(DOCS)
