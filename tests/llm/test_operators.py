@@ -550,26 +550,46 @@ def test_url_rules_equal_brute_force(spark):
     bad = lambda u: ".x.net/p" in u or "://b" in u and "#f" in u
     df = spark.createDataFrame(data, "page_id long, url string")
     labels = spark.createDataFrame([(k, int(bad(u))) for k, u in data if k % 3], "id long, block int")
-    mined = urls.mine_rules(df.select(F.col("page_id").alias("id"), "url"), labels, 0.02, 0.8)
+    mined, classes = urls.mine_rules(df.select(F.col("page_id").alias("id"), "url"), labels, 0.02, 0.8, 1, 3.0)
     toks = {r.page_id: set(r.t) for r in df.select("page_id", urls.tokens("url").alias("t")).collect()}
     train = [(toks[k], bad(u)) for k, u in data if k % 3]
+    base = sum(b for _, b in train) / len(train)
     from itertools import combinations
 
-    want = {}
-    for t, _ in train:
-        for n in range(1, len(t) + 1):
-            for c in combinations(sorted(t), n):
-                if c not in want:
-                    have = [b for s, b in train if set(c) <= s]
-                    want[c] = sum(have) / len(train) >= 0.02 and sum(have) / len(have) >= 0.8
-    assert {tuple(r.antecedent) for r in mined.collect()} == {c for c, ok in want.items() if ok}
-    rules = [set(c) for c, ok in want.items() if ok]
+    want = set()  # every combination that is strong enough, longer ones included
+    for c in {c for t, _ in train for n in range(1, len(t) + 1) for c in combinations(sorted(t), n)}:
+        have = [b for s, b in train if set(c) <= s]
+        lean = sum(have) - len(have) * base >= 3 * (len(have) * base * (1 - base)) ** 0.5
+        if sum(have) / len(train) >= 0.02 and sum(have) / len(have) >= 0.8 and lean:
+            want.add(frozenset(c))
+    shortest = {c for c in want if not any(x < c for x in want)}
+    of = {}
+    for r in classes.collect():
+        of.setdefault(r["class"], set()).add(r.token)
+    from itertools import product
+
+    assert {frozenset(c) for r in mined.collect() for c in product(*(of[x] for x in r.antecedent))} == shortest and shortest
     got = {r.page_id: r.verdict for r in urls.judge(df, labels, ()).collect()}
-    loose = {r.url for r in urls.fired(df, mined).collect()}
-    assert loose == {u for k, u in data if any(r <= toks[k] for r in rules)}
+    loose = {r.url for r in urls.fired(df, mined, classes).collect()}
+    assert loose == {u for k, u in data if any(r <= toks[k] for r in want)}
     assert set(got.values()) <= {"allow", "block"}
 
 
+def test_url_rules_with_very_long_urls_and_repeats(spark):
+    ship(spark)
+    long = "http://long.net/" + "/".join(f"s{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200))
+    rng = np.random.default_rng(15)
+    part = lambda k: "http://part.net/" + "/".join(f"t{chr(97 + x % 26)}{chr(97 + x // 26)}" for x in range(60) if x != k)
+    data = [*((k, long) for k in range(30)), *((100 + k, part(k)) for k in range(60)), *((200 + k, f"http://ok.net/{rng.choice(['a', 'b'])}") for k in range(200)), (5, long), (None, long), (6, None)]
+    pages = spark.createDataFrame([(i, u, "x") for i, u in data], "page_id long, url string, confidence string")
+    labels = spark.createDataFrame([(k, int(k < 200), "y") for k in [*range(30), *range(100, 400)]] + [(None, 1, "y"), (3, None, "y")], "id long, block int, verdict string")
+    out = urls.judge(pages, labels, ())
+    assert out.count() == len(data)
+    verdicts = {(r.page_id, r.host): r.verdict for r in out.collect()}
+    assert all(v == ("block" if h in ("long.net", "part.net") else "allow") for (_, h), v in verdicts.items())
+    assert urls.judge(pages, labels.limit(0), ()).where("verdict = 'block'").count() == 0
+
+
 # pipeline
 
 
