@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
-from functools import reduce
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,13 +26,16 @@ def pick_from(values: list[str], key: Column, salt: str, seed: str = SEED) -> Co
 
 
 def words(values) -> Column:
-    return F.array(*map(F.lit, values))
+    """A literal array of strings; from one text, which is folded once, as each literal by itself is a call to the JVM."""
+    return F.from_json(F.lit(json.dumps([str(x) for x in values])), "array<string>")
 
 
 def lookup(table: dict, key: Column) -> Column:
     """A literal map of curated entries (at most a few hundred); null where the key isn't one."""
-    entries = [F.lit(k) if i == 0 else (words(x) if isinstance(x, list) else F.lit(x)) for k, x in table.items() for i in (0, 1)]
-    return F.try_element_at(F.create_map(*entries), key)
+    one = next(iter(table.values()))
+    kind = "array<string>" if isinstance(one, list) else "long" if isinstance(one, int) else "double" if isinstance(one, float) else "string"
+    found = F.try_element_at(F.from_json(F.lit(json.dumps({str(k): x for k, x in table.items()})), f"map<string,{kind}>"), key.cast("string"))
+    return found.cast("int") if kind == "long" else found
 
 
 def tokens(name: Column) -> Column:
@@ -70,25 +74,29 @@ def trimmed_lower(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
-def _decomposed() -> tuple[str, str, list[tuple[str, str]]]:
-    source, target, longer = "", "", []
-    for code in [*range(0x80, 0x250), *range(0x1E00, 0x1F00), *range(0xFB00, 0xFB07)]:
+@cache
+def _decomposed() -> tuple[str, str, str]:
+    """Letters that become one ASCII letter, these letters, and a map (as JSON) of those that become several; of all of Unicode."""
+    source, target, longer = [], [], {}
+    for code in range(0x80, 0x110000):
         c = chr(code)
-        ascii_form = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
-        if len(ascii_form) == 1:
-            source, target = source + c, target + ascii_form
-        elif ascii_form:
-            longer.append((c, ascii_form))
-    return source, target, longer
-
-
-FOLD_FROM, FOLD_TO, FOLD_LONG = _decomposed()
+        if unicodedata.decomposition(c) and not 0xD800 <= code < 0xE000:
+            ascii_form = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
+            if len(ascii_form) == 1:
+                source.append(c)
+                target.append(ascii_form)
+            elif ascii_form:
+                longer[c] = ascii_form
+    return "".join(source), "".join(target), json.dumps(longer)
 
 
 def strip_marks(c: Column) -> Column:
-    """ASCII part of the compatibility decomposition, for Latin scripts; other letters vanish."""
-    c = reduce(lambda x, pair: F.replace(x, F.lit(pair[0]), F.lit(pair[1])), FOLD_LONG, c)
-    return F.regexp_replace(F.translate(c, FOLD_FROM, FOLD_TO), r"[^\x00-\x7F]", "")
+    """ASCII part of the compatibility decomposition; letters without one vanish."""
+    source, target, longer = _decomposed()
+    table = F.from_json(F.lit(longer), "map<string,string>")
+    letters = F.split(F.regexp_replace(F.translate(c, source, target), r"([^\x00-\x7F])", "\x00$1\x00"), "\x00")
+    spelled = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(spelled, r"[^\x00-\x7F]", "")).otherwise(c)
 
 
 def folded(c: Column) -> Column:

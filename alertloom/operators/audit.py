@@ -10,8 +10,8 @@ from ..functions.strings import closure, differing, joined, label_of, last, look
 from .mutate import is_gender_pair
 
 
-def pair_problem(client: Column, hit: Column, code: Column) -> Column:
-    """What is wrong with a pair under its code, or null."""
+def problem_under(client: Column, hit: Column, code: str) -> Column:
+    """What is wrong with a pair under one code, or null; only that code's rule is in the plan."""
     c, h = tokens(client), tokens(hit)
     even, diffs, n = F.size(c) == F.size(h), differing(c, h), F.size(c)
     one = even & (F.size(diffs) == 1)
@@ -36,30 +36,30 @@ def pair_problem(client: Column, hit: Column, code: Column) -> Column:
     middle_new = (F.size(h) == n + 1) & (n >= 2) & first_same & (F.lower(cl) == F.lower(hl)) & h1.isin(v.MIDDLE_NAMES)
     test = lambda problem, text: F.when(F.coalesce(problem, F.lit(True)), F.lit(text))  # noqa: E731  an open question counts as a problem
     rules = {
-        "DISP_EXACT_NAME_MATCH": [test(~same, "not an identical name pair")],
-        "DISP_GIVEN_NAME_GENDER_VARIANT": [test(~is_gender_pair(client, hit), "tokens do not differ by a single curated gendered given name")],
-        "DISP_MINOR_TYPO": [
+        "DISP_EXACT_NAME_MATCH": lambda: [test(~same, "not an identical name pair")],
+        "DISP_GIVEN_NAME_GENDER_VARIANT": lambda: [test(~is_gender_pair(client, hit), "tokens do not differ by a single curated gendered given name")],
+        "DISP_MINOR_TYPO": lambda: [
             test(same, "pair is identical"),
             test(is_gender_pair(client, hit), "pair is a curated cross-gender variant (belongs to DISP_GIVEN_NAME_GENDER_VARIANT)"),
             test(F.levenshtein(F.lower(client), F.lower(hit)) > 2, "edit distance exceeds the documented <= 2 typo contract"),
         ],
-        "DISP_TOKEN_ORDER_SWAP": [test(lower_all(c) != lower_all(h), "token multisets differ (not a pure reordering)"), test(same, "no reordering occurred")],
-        "DISP_MIDDLE_NAME_ABBREVIATED": [
+        "DISP_TOKEN_ORDER_SWAP": lambda: [test(lower_all(c) != lower_all(h), "token multisets differ (not a pure reordering)"), test(same, "no reordering occurred")],
+        "DISP_MIDDLE_NAME_ABBREVIATED": lambda: [
             test(~only(1), "more than the middle token changed"),
             test((F.length(c1) <= 2) | (h1 != F.concat(F.upper(F.substring(c1, 1, 1)), F.lit("."))), "middle token was not shortened to its initial"),
         ],
-        "DISP_MIDDLE_INITIAL_EXPANDED": [
+        "DISP_MIDDLE_INITIAL_EXPANDED": lambda: [
             test(~only(1), "more than the middle token changed"),
             test((F.length(c1) > 2) | (F.length(h1) <= 2), "middle initial was not expanded"),
             test(~h1.isin(v.MIDDLE_NAMES), "expanded middle token is not from the curated middle-name pool"),
         ],
-        "DISP_MIDDLE_NAME_OMITTED": [F.when(~(F.coalesce(removed, F.lit(False)) | F.coalesce(added, F.lit(False))), "neither a middle-name omission nor an added middle initial")],
-        "DISP_TRANSLITERATION_VARIANT": [test(~one, "more than one token differs"), test(~roman, "differing token is not a known cross-standard transliteration variant")],
-        "DISP_DIACRITIC_STRIPPED": [test(~one, "more than one token differs"), test(~marks, "differing token is not a diacritic-only variant")],
-        "DISP_COMPOUND_NAME_RESTRUCTURED": [test(same, "pair is identical"), test(plain(client) != plain(hit), "a hyphen split/merge does not account for the difference")],
-        "DISP_SURNAME_CONFLICT": [test(~only(n - 1), "only the surname may differ for this code"), test(~hl.isin(v.SURNAMES), "replacement surname is not from the curated distinct-surname pool")],
-        "DISP_MIDDLE_NAME_CONFLICT": [F.when(even & ~F.coalesce(only(1), F.lit(False)), "only the middle token may differ for this code").when(~even & ~F.coalesce(middle_new, F.lit(False)), "neither a conflicting middle token nor an introduced middle name")],
-        "DISP_PHONETIC_SURNAME_DIVERGENCE": [
+        "DISP_MIDDLE_NAME_OMITTED": lambda: [F.when(~(F.coalesce(removed, F.lit(False)) | F.coalesce(added, F.lit(False))), "neither a middle-name omission nor an added middle initial")],
+        "DISP_TRANSLITERATION_VARIANT": lambda: [test(~one, "more than one token differs"), test(~roman, "differing token is not a known cross-standard transliteration variant")],
+        "DISP_DIACRITIC_STRIPPED": lambda: [test(~one, "more than one token differs"), test(~marks, "differing token is not a diacritic-only variant")],
+        "DISP_COMPOUND_NAME_RESTRUCTURED": lambda: [test(same, "pair is identical"), test(plain(client) != plain(hit), "a hyphen split/merge does not account for the difference")],
+        "DISP_SURNAME_CONFLICT": lambda: [test(~only(n - 1), "only the surname may differ for this code"), test(~hl.isin(v.SURNAMES), "replacement surname is not from the curated distinct-surname pool")],
+        "DISP_MIDDLE_NAME_CONFLICT": lambda: [F.when(even & ~F.coalesce(only(1), F.lit(False)), "only the middle token may differ for this code").when(~even & ~F.coalesce(middle_new, F.lit(False)), "neither a conflicting middle token nor an introduced middle name")],
+        "DISP_PHONETIC_SURNAME_DIVERGENCE": lambda: [
             test(same, "pair is identical"),
             test((n < 2) | (F.size(h) < 2), "pair is not a multi-token record"),
             F.when(~curated, F.coalesce(
@@ -69,9 +69,14 @@ def pair_problem(client: Column, hit: Column, code: Column) -> Column:
             )),
         ],
     }
+    return F.coalesce(*rules[code]())
+
+
+def pair_problem(client: Column, hit: Column, code: Column) -> Column:
+    """What is wrong with a pair under its code, or null."""
     out = F.when(~code.isin(v.CODES), F.concat(F.lit("unknown disposition code '"), code, F.lit("'")))
-    for name, tests in rules.items():
-        out = out.when(code == name, F.coalesce(*tests))
+    for name in v.CODES:
+        out = out.when(code == name, problem_under(client, hit, name))
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab as v
 from ..functions.strings import ABSENT, SEED, compose, decision_of, joined, label_of, last, lookup, middle, pick, pick_from, tokens, trimmed_lower, walk_middle, walk_note
-from ..operators.audit import pair_problem
+from ..operators.audit import problem_under
 from ..operators.capability import capable, gender_clients, gender_of
 from ..operators.mutate import candidates
 from ..sources.scratch import cut
@@ -49,9 +49,14 @@ def all_candidates(pool: DataFrame, quotas: dict[str, int], seed: str = SEED, wh
     for code in v.CODES:
         if quotas.get(code, 0) > 0:
             size = 0 if code in whole_pools else sizes.get(code, 0)
-            one = candidates(thinned(pool, code, quotas[code], size, seed), code)
-            whole = one if whole is None else whole.unionByName(one)
-    return whole.where(pair_problem(F.col("client_name"), F.col("hit_name"), F.col("code")).isNull())
+            one = audited(candidates(thinned(pool, code, quotas[code], size, seed), code), code)
+            whole = one if whole is None else whole.unionAll(one)
+    return whole
+
+
+def audited(found: DataFrame, code: str) -> DataFrame:
+    """Candidates of a code whose label holds."""
+    return found.where(problem_under(F.col("client_name"), F.col("hit_name"), code).isNull())
 
 
 def unique_pairs(found: DataFrame, quotas: dict[str, int], seed: str = SEED) -> DataFrame:
@@ -64,10 +69,28 @@ def unique_pairs(found: DataFrame, quotas: dict[str, int], seed: str = SEED) ->
     return rows.withColumn("_at", at).where("_at = 1").drop("_at", "ratio")
 
 
+#: Hex digits of a rank by which a code's pairs are numbered in parts.
+BUCKET = 3
+
+
 def fill(pairs: DataFrame, plan: DataFrame) -> DataFrame:
-    """pairs (with rank) up to each code's quota, numbered by slot."""
-    at = F.row_number().over(Window.partitionBy("code").orderBy("rank", "variant_ix"))
-    return pairs.withColumn("slot", at.cast("long")).join(F.broadcast(plan.select("code", "quota")), "code").where(F.col("slot") <= F.col("quota"))
+    """pairs (with rank; written, as they are read twice) up to each code's quota, numbered by slot.
+
+    The pairs of each code are counted by the first digits of their rank, at most 16**BUCKET counts a code. Parts
+    beyond the quota leave before anything is sorted, and each other part is ranked by itself, behind those before it.
+    """
+    spark = pairs.sparkSession
+    pairs = pairs.withColumn("_part", F.substring("rank", 1, BUCKET))
+    counts = pairs.groupBy("code", "_part").agg(F.count("*").alias("n")).join(F.broadcast(plan.where("quota > 0").select("code", "quota")), "code").collect()
+    starts, before = [], {}
+    for r in sorted(counts, key=lambda r: (r["code"], r["_part"])):
+        at = before.get(r["code"], 0)
+        if at < r["quota"]:
+            starts.append((r["code"], r["_part"], at, r["quota"]))
+        before[r["code"]] = at + r["n"]
+    parts = F.broadcast(spark.createDataFrame(starts, "code string, _part string, _before long, quota long"))  # at most 16**BUCKET rows a code
+    at = F.row_number().over(Window.partitionBy("code", "_part").orderBy("rank", "variant_ix"))
+    return pairs.join(parts, ["code", "_part"]).withColumn("slot", at + F.col("_before")).where(F.col("slot") <= F.col("quota")).drop("_part", "_before")
 
 
 def shortfall(filled: DataFrame, plan: DataFrame) -> dict[str, str]:

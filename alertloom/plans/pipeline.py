@@ -30,7 +30,7 @@ def balanced(names: DataFrame, plan: DataFrame, alpha: float = 1.0, chat: Chat |
     whole: set[str] = set()
     while True:
         found = cut(assign.all_candidates(pool, wanted, seed, whole))
-        filled = cut(assign.fill(assign.unique_pairs(found, wanted, seed), plan))
+        filled = cut(assign.fill(cut(assign.unique_pairs(found, wanted, seed)), plan))
         missing = assign.shortfall(filled, plan)
         if missing.keys() <= whole:
             break

@@ -14,7 +14,7 @@ from .operators import audit, capability, mutate, review
 from .oracle import GIVEN, MIDDLE, ORACLE_SQL, SURNAME
 from .plans import assign, pipeline, quotas
 from .sources import names as src
-from .sources.scratch import scratch_dir
+from .sources.scratch import cut, scratch_dir
 
 
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +67,10 @@ def deterministic_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = clients(spark, sf_dir)
     found = None
     for code in wanted:
-        one = mutate.candidates(names, code).where(audit.pair_problem(F.col("client_name"), F.col("hit_name"), F.col("code")).isNull())
-        found = one if found is None else found.unionByName(one)
+        one = assign.audited(mutate.candidates(names, code), code)
+        found = one if found is None else found.unionAll(one)
     plan = spark.createDataFrame(sorted(wanted.items()), "code string, quota long")
-    return assign.as_alerts(assign.fill(assign.unique_pairs(found, wanted), plan))
+    return assign.as_alerts(assign.fill(cut(assign.unique_pairs(cut(found), wanted)), plan))
 
 
 def weighted(spark: SparkSession) -> DataFrame:

@@ -40,6 +40,15 @@ def test_fold(spark):
     assert rows.where(s.strip_marks(F.col("a")) != F.col("b")).count() == 0
 
 
+def test_fold_equals_the_decomposition_of_every_letter(spark):
+    import unicodedata
+
+    letters = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = ["a" + "".join(letters[k : k + 50]) + "z" for k in range(0, len(letters), 50)]
+    rows = spark.createDataFrame([(t, unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode()) for t in texts], "a string, b string")
+    assert rows.where(s.strip_marks(F.col("a")) != F.col("b")).limit(3).collect() == []
+
+
 def test_overlap_and_notes(spark):
     df = spark.createDataFrame([("Ali Khan", "Ali Smith"), ("Ana Li", "Bo Xu")], "c string, h string")
     got = [r.o for r in df.select(s.overlap(F.col("c"), F.col("h")).alias("o")).collect()]
