@@ -11,7 +11,8 @@ variable length, and each part's subtree is built by itself, in memory.
 3. A part's words are numbered in sorted order (words themselves are compared), its suffixes are sorted by
    prefix doubling, and the common lengths of neighbours give the tree's internal nodes. Below a node of depth
    `window` or more stand the holders of a repeat: all but the least lose it.
-4. Below a lengthened prefix stands one node, so its least holder is a grouped minimum with partial sums.
+4. Below a lengthened prefix stands one node, so only its least holder matters: a task sends one suffix for each
+   such window, its least, and settles the others itself.
 Adjoining starts make the maximal repeats (`maximal_repeats`).
 
 What several documents of a slice of text hold is summed up before it moves: only the least holder of a window
@@ -41,14 +42,16 @@ from .words import Slice, pack_longs, slices, unpack_longs
 
 WINDOW, STEP = 13, 4
 #: Text of a part's suffixes, aimed at; a suffix moves about so many bytes.
-GROUP_BYTES, SUFFIX_BYTES = 8 << 20, 24
+GROUP_BYTES, SUFFIX_BYTES = 2 << 20, 24
 #: A prefix with more suffixes is lengthened to the window.
 HOT_LOAD, HOT_BITS = 1 << 15, 1 << 23
-#: Anchors that a task gathers before it sums them up.
-GATHERED = 2_000_000
+#: Anchors, and single suffixes, that a task gathers before it sums them up.
+GATHERED, SINGLES = 1_000_000, 300_000
 FILED = "p int, settled boolean, anchors binary, ids binary, many binary, loads binary"
 HELD = "_id long, anchor long, load long"
-NODES = "p int, settled boolean, ids binary, tags binary, starts binary, counts binary, words binary, w long, v long, _id long, tag long, start int"
+NODES = "p int, kind int, ids binary, tags binary, starts binary, counts binary, words binary, w binary, v binary"
+#: Kinds of its rows: starts that are settled, stretches of text, single suffixes below lengthened prefixes.
+SETTLED, STRETCH, SINGLE = range(3)
 GONE = "_id long, tag long, start int, len int"
 
 
@@ -149,6 +152,18 @@ def _suffixes(window: int, shares: int, groups: int, hot):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.frombuffer(hot.value, np.uint8) if hot else None
+        single: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def summed() -> pa.RecordBatch:
+            w, v, ids, tags, starts = (np.concatenate(x) for x in zip(*single, strict=True))
+            single.clear()
+            gone = _later(ids, w, v)
+            k = ~gone
+            rows = dealt((w[k] % np.uint64(shares)).astype(np.int64), shares, [ids[k], tags[k], starts[k], w[k], v[k]], [pack_longs, raw("<i8"), raw("<u4"), raw("<u8"), raw("<u8")])
+            out = [(groups + p, SINGLE, *r[:3], b"", b"", *r[3:]) for p, *r in rows]
+            return packed_batch(out + _settled(ids[gone], tags[gone], starts[gone], shares), NODES)
+
         for s, (held, tags) in slices(batches, False, ("held", "tag")):
             start, place, anchor = anchors_of(s, window)
             doc = s.doc[start]
@@ -160,19 +175,16 @@ def _suffixes(window: int, shares: int, groups: int, hot):
             start, place, anchor, doc = start[ok], place[ok], anchor[ok], doc[ok]
             w, v = runs_of(s.hashes, window)[start], runs_of(s.hashes, window, 1)[start]
             ids = s.ids[doc]
-            order = np.lexsort((ids, v >> np.uint64(32), w))
-            head = _heads(w[order], v[order] >> np.uint64(32))
-            least = np.repeat(ids[order][head], np.diff(np.append(head, len(order))))
-            gone = np.zeros(len(order), bool)
-            gone[order] = ids[order] > least
+            gone = _later(ids, w, v >> np.uint64(32))
             tag = np.array(tags, np.int64)[doc]
             local = start - s.first[doc]
-            out = _settled(ids[gone], tag[gone], local[gone], doc[gone], shares)
+            out = _settled(ids[gone], tag[gone], local[gone], shares)
             keep = ~gone
             if dense is not None:
                 slot = anchor % np.uint64(HOT_BITS)
                 many = keep & ((dense[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1) > 0)
-                out += [(-1, False, None, None, None, None, None, *r) for r in zip(w[many].view(np.int64).tolist(), v[many].view(np.int64).tolist(), ids[many].tolist(), tag[many].tolist(), local[many].tolist(), strict=True)]
+                single.append((w[many], v[many], ids[many], tag[many], local[many]))
+                size += int(many.sum())
                 keep &= ~many
             k = np.flatnonzero(keep)
             if len(k):
@@ -183,20 +195,38 @@ def _suffixes(window: int, shares: int, groups: int, hot):
                 texts = np.empty(len(first), object)
                 texts[:] = [s.text[a:b] for a, b in zip(s.at[start[first]].tolist(), after.tolist(), strict=True)]
                 rows = dealt((mix(anchor[first]) % np.uint64(groups)).astype(np.int64), groups, [ids[first], tag[first], local[first], count, texts], [pack_longs, raw("<i8"), raw("<u4"), raw("<u4"), lambda x: b" ".join(x.tolist())])
-                out += [(p, False, *r, None, None, None, None, None) for p, *r in rows]
+                out += [(p, STRETCH, *r, b"", b"") for p, *r in rows]
             yield packed_batch(out, NODES)
+            if size > SINGLES:
+                yield summed()
+                size = 0
+        if single:
+            yield summed()
 
     return run
 
 
-def _settled(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, doc: np.ndarray, shares: int) -> list[tuple]:
-    """Adjoining starts of a document as rows of NODES."""
-    if not len(ids):
-        return []
-    first = _heads(doc, starts - np.arange(len(starts)))
-    count = np.diff(np.append(first, len(ids)))
-    rows = dealt(ids[first] % shares, shares, [ids[first], tags[first], starts[first], count], [pack_longs, raw("<i8"), raw("<u4"), raw("<u4")])
-    return [(p, True, *r, b"", None, None, None, None, None) for p, *r in rows]
+def _later(ids: np.ndarray, *names: np.ndarray) -> np.ndarray:
+    """Whether a row of the same names has a smaller id."""
+    order = np.lexsort((ids, *names[::-1]))
+    head = _heads(*(x[order] for x in names))
+    out = np.zeros(len(ids), bool)
+    out[order] = ids[order] > np.repeat(ids[order][head], np.diff(np.append(head, len(ids))))
+    return out
+
+
+def _spans(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """ids, tags, starts, counts of adjoining starts of a row."""
+    order = np.lexsort((starts, tags, ids))
+    ids, tags, starts = ids[order], tags[order], starts[order]
+    first = _heads(ids, tags, starts - np.arange(len(starts)))
+    return [ids[first], tags[first], starts[first], np.diff(np.append(first, len(ids)))]
+
+
+def _settled(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, shares: int) -> list[tuple]:
+    spans = _spans(ids, tags, starts)
+    rows = dealt(spans[0] % shares, shares, spans, [pack_longs, raw("<i8"), raw("<u4"), raw("<u4")])
+    return [(p, SETTLED, *r, b"", b"", b"") for p, *r in rows]
 
 
 class Subtree:
@@ -205,15 +235,16 @@ class Subtree:
     def __init__(self, words: list[bytes], lengths: np.ndarray, depth: int):
         """lengths: words of each stretch; suffixes are told apart for `depth` words at least, and end with their stretch."""
         number = {w: k for k, w in enumerate(sorted(set(words)))}
-        rank = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        self.left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(words))  # words up to the stretch's end
+        rank = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
+        self.left = (np.repeat(np.cumsum(lengths), lengths) - np.arange(len(words))).astype(np.int32)  # words up to the stretch's end
         self.levels = [rank]
         width = 1
         while width < depth:
             there = self.left > width
             behind = np.zeros(len(rank), np.int64)
             behind[there] = rank[np.flatnonzero(there) + width] + 1
-            _, rank = np.unique(rank * (len(words) + 2) + behind, return_inverse=True)
+            _, rank = np.unique(rank * np.int64(len(words) + 2) + behind, return_inverse=True)
+            rank = rank.astype(np.int32)
             self.levels.append(rank)
             width *= 2
 
@@ -237,11 +268,22 @@ def _repeats(t: pa.Table, window: int) -> pa.Table:
     """Runs of window starts that a smaller document holds too."""
     done: list[list[np.ndarray]] = [[], [], [], []]
     todo: list[list[np.ndarray]] = [[], [], [], []]
+    single: list[list[np.ndarray]] = [[], [], [], [], []]
     words: list[bytes] = []
-    for settled, i, g, s, c, text in zip(*(t.column(n).to_pylist() for n in ("settled", "ids", "tags", "starts", "counts", "words")), strict=True):
-        for to, x in zip(done if settled else todo, (unpack_longs(i), np.frombuffer(g, "<i8"), np.frombuffer(s, "<u4").astype(np.int64), np.frombuffer(c, "<u4").astype(np.int64)), strict=True):
+    for kind, i, g, s, c, text, w, v in zip(*(t.column(n).to_pylist() for n in ("kind", "ids", "tags", "starts", "counts", "words", "w", "v")), strict=True):
+        row = [unpack_longs(i), np.frombuffer(g, "<i8"), np.frombuffer(s, "<u4").astype(np.int64)]
+        if kind == SINGLE:
+            row += [np.frombuffer(w, "<u8"), np.frombuffer(v, "<u8")]
+        else:
+            row.append(np.frombuffer(c, "<u4").astype(np.int64))
+        for to, x in zip((done, todo, single)[kind], row, strict=True):
             to.append(x)
         words += text.split()
+    if single[0]:
+        ids, tags, starts, w, v = (np.concatenate(x) for x in single)
+        gone = _later(ids, w, v)
+        for to, x in zip(done, _spans(ids[gone], tags[gone], starts[gone]), strict=True):
+            to.append(x)
     if words:
         ids, tags, starts, counts = (np.concatenate(x) for x in todo)
         run = np.repeat(np.arange(len(counts)), counts)
@@ -292,13 +334,7 @@ def repeat_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataF
     groups = max(1, -(-load * SUFFIX_BYTES // GROUP_BYTES))
     held, dense = shared.where("_id is not null").groupBy("_id").agg(F.collect_list("anchor").alias("held")), _dense(shared)
     nodes = texts.join(held, "_id", "left").select("_id", "tag", "text", "held").mapInArrow(_suffixes(window, shares, groups, dense), NODES)
-    if dense:
-        nodes = cut(nodes)
-    gone = nodes.where("p >= 0").select(*[c.split()[0] for c in NODES.split(", ")[:7]]).groupBy("p").applyInArrow(lambda t: _repeats(t, window), GONE)
-    if dense:
-        each = nodes.where("p < 0").select("w", "v", "_id", "tag", "start")
-        least = each.groupBy("w", "v").agg(F.min("_id").alias("least"))
-        gone = gone.unionAll(each.join(least, ["w", "v"]).where("_id > least").select("_id", "tag", "start", F.lit(1).alias("len")))
+    gone = nodes.groupBy("p").applyInArrow(lambda t: _repeats(t, window), GONE)
     return rows, gone.groupBy("_id").agg(F.collect_list(F.struct("tag", "start", "len")).alias("gone"))
 
 
