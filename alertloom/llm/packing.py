@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, parts, table
+from .common import cut, parts, table, trimmed
 
 CAPACITY, SALTS, MOST_SALTS, CLOSING = 2048, 64, 1024, b"\0\0\0\0"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -99,7 +99,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
             cols = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), PIECES)
 
 
 def plan_slots(counts: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, dealt, drop_scratch, flat, id_back, id_column, id_filter, packed_batch, parts, raw, runs_of, scratch_path, table
+from .common import components, cut, dealt, drop_scratch, flat, id_back, id_column, id_filter, packed_batch, parts, raw, runs_of, scratch_path, table, trimmed
 from .words import Slice, pack_longs, slices, unpack_longs
 
 SLOT_BITS, CHUNKS = 22, 64
@@ -280,7 +280,7 @@ def _join_cell(width: int, num: int, den: int, sketch):
             doc, h = shingle_sets(s, width)
             h = h[_ordered(doc, h, sketch.value)]
             ends = np.cumsum(np.bincount(doc, minlength=len(s.ids)))
-            for i, lo, hi, c, p in zip(s.ids.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), *more, strict=True):
+            for i, lo, hi, c, p in zip(s.ids.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), *(x.to_pylist() for x in more), strict=True):
                 m = h[lo:hi].astype("<u8").tobytes()
                 sets.setdefault((i, xxhash.xxh3_64_intdigest(m)), m)
                 placed[i] = c, p or placed.get(i, (c, False))[1]
@@ -352,7 +352,7 @@ def similar_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     spark = docs.sparkSession
     shares, mine = parts(spark), [scratch_path(spark) for _ in range(5)]
     texts = docs.select(id_column("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    counted = cut(texts.mapInArrow(_count(width, max(1, math.isqrt(shares))), COUNTED))
+    counted = cut(texts.mapInArrow(trimmed(_count(width, max(1, math.isqrt(shares)))), COUNTED))
     counts = _sketch(counted)
     sketch, hot = spark.sparkContext.broadcast(counts), max(HOT, HOT_TIMES * int(counts.mean()))
     same = cut(_equal(counted), mine[0])
@@ -360,7 +360,7 @@ def similar_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
     copies = cut(same.select(F.col("b").alias("_id")).distinct().join(often, "_id", "left_anti"), mine[1])
     copied = id_filter(copies, "_id")  # what it lets through is looked up
     lone = texts.where(~copied("_id")).unionAll(texts.where(copied("_id")).join(copies, "_id", "left_anti"))
-    filed = lone.mapInArrow(_file(width, num, den, shares, hot, sketch), FILED)
+    filed = lone.mapInArrow(trimmed(_file(width, num, den, shares, hot, sketch)), FILED)
     if counts.max() > hot:  # else no shingle is, and one branch reads what is filed
         filed = cut(filed, mine[2])
     homes = filed.where("p >= 0").select("p", "shingles", "ids", "sizes", "places").groupBy("p").applyInArrow(lambda t: _homes(t, num, den), HOMES)

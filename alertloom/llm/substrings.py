@@ -34,10 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, dealt, flat, id_back, id_column, mix, packed_batch, parts, raw, runs_of, table
+from .common import cut, dealt, flat, id_back, id_column, mix, packed_batch, parts, raw, runs_of, table, trim, trimmed
 from .words import Slice, pack_longs, slices, unpack_longs
 
 WINDOW, STEP = 13, 4
@@ -46,7 +47,7 @@ GROUP_BYTES, SUFFIX_BYTES = 2 << 20, 24
 #: A prefix with more suffixes is lengthened to the window.
 HOT_LOAD, HOT_BITS = 1 << 15, 1 << 23
 #: Anchors, and single suffixes, that a task gathers before it sums them up.
-GATHERED, SINGLES = 1_000_000, 300_000
+GATHERED, SINGLES = 500_000, 300_000
 FILED = "p int, settled boolean, anchors binary, ids binary, many binary, loads binary"
 HELD = "_id long, anchor long, load long"
 NODES = "p int, kind int, ids binary, tags binary, starts binary, counts binary, words binary, w binary, v binary"
@@ -167,16 +168,16 @@ def _suffixes(window: int, shares: int, groups: int, hot):
         for s, (held, tags) in slices(batches, False, ("held", "tag")):
             start, place, anchor = anchors_of(s, window)
             doc = s.doc[start]
-            sizes = np.array([len(h or ()) for h in held])
+            sizes = pc.fill_null(pc.list_value_length(held), 0).to_numpy(zero_copy_only=False)
             if not sizes.sum() or not len(start):
                 continue
-            wanted = np.concatenate([np.array(h, np.int64).view(np.uint64) for h in held if h]) ^ mix(np.repeat(np.arange(len(held)), sizes).astype(np.uint64))
+            wanted = held.flatten().to_numpy().view(np.uint64) ^ mix(np.repeat(np.arange(len(held)), sizes).astype(np.uint64))
             ok = np.isin(anchor ^ mix(doc.astype(np.uint64)), wanted)
             start, place, anchor, doc = start[ok], place[ok], anchor[ok], doc[ok]
             w, v = runs_of(s.hashes, window)[start], runs_of(s.hashes, window, 1)[start]
             ids = s.ids[doc]
             gone = _later(ids, w, v >> np.uint64(32))
-            tag = np.array(tags, np.int64)[doc]
+            tag = tags.to_numpy()[doc]
             local = start - s.first[doc]
             out = _settled(ids[gone], tag[gone], local[gone], shares)
             keep = ~gone
@@ -301,6 +302,8 @@ def _repeats(t: pa.Table, window: int) -> pa.Table:
         first = _heads(run, start - np.arange(len(start)))
         for to, x in zip(done, (ids[run][first], tags[run][first], start[first], np.diff(np.append(first, len(start)))), strict=True):
             to.append(x)
+        del words, order, common, run, within, stretch
+        trim()
     return flat(GONE, *(np.concatenate(x) if x else np.empty(0, np.int64) for x in done))
 
 
@@ -328,12 +331,12 @@ def repeat_runs(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataF
     rows = docs.withColumns({"_id": id_column("doc_id"), "tag": F.xxhash64(F.coalesce("text", F.lit("")))})
     texts = rows.select("_id", "tag", "text")
     hot_load = HOT_LOAD
-    filed = texts.select("_id", "text").mapInArrow(_file(window, shares), FILED)
+    filed = texts.select("_id", "text").mapInArrow(trimmed(_file(window, shares)), FILED)
     shared = cut(filed.groupBy("p").applyInArrow(lambda t: _shared(t, hot_load), HELD))
     load = shared.where("_id is null and anchor is null").agg(F.sum("load")).first()[0] or 0
     groups = max(1, -(-load * SUFFIX_BYTES // GROUP_BYTES))
     held, dense = shared.where("_id is not null").groupBy("_id").agg(F.collect_list("anchor").alias("held")), _dense(shared)
-    nodes = texts.join(held, "_id", "left").select("_id", "tag", "text", "held").mapInArrow(_suffixes(window, shares, groups, dense), NODES)
+    nodes = texts.join(held, "_id", "left").select("_id", "tag", "text", "held").mapInArrow(trimmed(_suffixes(window, shares, groups, dense)), NODES)
     gone = nodes.groupBy("p").applyInArrow(lambda t: _repeats(t, window), GONE)
     return rows, gone.groupBy("_id").agg(F.collect_list(F.struct("tag", "start", "len")).alias("gone"))
 

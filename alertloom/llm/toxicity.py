@@ -32,13 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, table, trim
 
 SPACE = 1 << 20
 MAX_TOXIC, MAX_CLEAN, MAX_FEATURES = 4000, 8000, 8192
 THRESHOLD, HELD_OUT = 0.3, 2
 #: A feature must lean to one label by so many standard errors, and stand in so many of the sampled documents.
 LEAST_LEAN, LEAST_DOCS = 3, 3
+#: Words whose features a task keeps.
+WORDS_KEPT = 100_000
 #: Places of features handled at once in a step of the fit.
 PORTION = 1 << 20
 #: Groups of identity terms, of four languages; a term is swapped for others of its own group.
@@ -89,7 +91,7 @@ class Model:
         for w in set(WORDS.findall(text.lower())):
             f = store.get(w)
             if f is None:
-                if len(store) > 300_000:
+                if len(store) > WORDS_KEPT:
                     store.clear()
                 f = store[w] = tuple(x for x in word_features(w) if x in self.weights)
             if f:
@@ -211,6 +213,8 @@ def with_score(docs: DataFrame, model: Model, column: str = "score") -> DataFram
         store: dict[str, tuple[int, ...]] = {}
         for t in texts:
             yield pd.Series([shared.value.score(x or "", store) for x in t], dtype="float64")
+        store.clear()
+        trim()
 
     run.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.withColumn(column, F.pandas_udf(run, "double")(F.col("text")))

@@ -80,21 +80,21 @@ class Slice:
 
 
 def slices(batches: Iterator[pa.RecordBatch], lower: bool, extra: tuple[str, ...] = ()):
-    """(Slice, columns of `extra` as lists) for documents (_id, text), in bounded portions; words are `[^\\x20\\x09-\\x0D]+`."""
+    """(Slice, columns of `extra`) for documents (_id, text), in bounded portions; words are `[^\\x20\\x09-\\x0D]+`."""
     for b in batches:
         ids, texts = b.column("_id").to_pylist(), b.column("text")
-        more = [b.column(c).to_pylist() for c in extra]
+        more = [b.column(c) for c in extra]
         part: list[bytes] = []
         begin = size = 0
         for k in range(b.num_rows):
             t = (texts[k].as_py() or "").encode("utf-8", "surrogatepass")
             if size and size + len(t) > SLICE_BYTES:
-                yield Slice(ids[begin:k], part, lower), [c[begin:k] for c in more]
+                yield Slice(ids[begin:k], part, lower), [c.slice(begin, k - begin) for c in more]
                 part, begin, size = [], k, 0
             part.append(t)
             size += len(t) + 1
         if part:
-            yield Slice(ids[begin:], part, lower), [c[begin:] for c in more]
+            yield Slice(ids[begin:], part, lower), [c.slice(begin) for c in more]
 
 
 def pack_longs(a: np.ndarray) -> bytes:
