@@ -409,6 +409,17 @@ PARTICLES = ["bin", "ibn", "al", "el", "de", "del", "van", "von", "da"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # End of the fixed values.
 
+#: Language of a locale -> the region whose built-in names it draws from; other languages are unknown.
+REGION_OF = {
+    lang: region
+    for region, langs in zip(
+        WORLD_NAMES,
+        ("zh ja ko vi", "hi ur bn ta", "ar fa he tr", "sw yo ig zu ha", "ru uk pl cs sk ro hu bg hr sr sl", "en fr de it nl sv no nb da fi id", "es pt"),
+        strict=True,
+    )
+    for lang in langs.split()
+}
+
 CODES = list(LABELS)
 TRUE_POSITIVE = [c for c in CODES if c not in FALSE_POSITIVE]
 DECISIONS = {c: DISQUALIFY if c in FALSE_POSITIVE else ESCALATE for c in CODES}

@@ -353,3 +353,54 @@ ORACLE_SQL: dict[str, str] = {
     "first_match": f"WITH {POOL} SELECT t[-1] AS surname, min(k) AS k FROM (SELECT k, {toks('client_name')} AS t FROM pool) a GROUP BY 1",
 }
 ORACLE_SQL["csv_roundtrip"] = ORACLE_SQL["unique_pairs"]
+
+
+def cleaned(x: str) -> str:
+    """The normalised name of a raw one, or null."""
+    bare = f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    n = f"trim(trim({bare}, '\"'), '''')"
+    return f"(SELECT CASE WHEN n = '' OR {entity('n')} OR len(string_split(full_name, ' ')) < 2 THEN NULL ELSE full_name END FROM (SELECT n, {join(cased(toks(untitled(inverted('n')))))} AS full_name FROM (SELECT {n} AS n) c1) c2)"
+
+
+def _locales() -> str:
+    rows = []
+    for k, locale in enumerate(v.LOCALES):
+        names = v.WORLD_NAMES[v.REGION_OF[locale[:2]]]
+        rows.append(f"({k}, {lit(locale)}, {arr(sorted({n.split()[0] for n in names}))}, {arr(sorted({n.split()[-1] for n in names}))})")
+    return "(VALUES " + ", ".join(rows) + ") AS l(place, locale, gs, fs)"
+
+
+def one_of(xs: str, key: str, salt: str) -> str:
+    return f"{xs}[{pick(key, salt, 1).removesuffix(' % 1)')} % len({xs})) + 1]"
+
+
+ORACLE_SQL["generated_names"] = f"""WITH r AS (SELECT place, ix, gs, fs, locale || '|' || ix AS key FROM {_locales()}, range(40) t(ix)),
+n AS (SELECT place * 40 + ix AS ord, {one_of('gs', 'key', 'given')} AS g, {one_of('gs', 'key', 'second')} AS g2, {one_of('fs', 'key', 'family')} AS f, {pick('key', 'share', 1000)} < 350 AS share, ix FROM r),
+m AS (SELECT ord, CASE WHEN ix > 0 AND ix % 5 = 0 THEN 'Dr. ' || g || ' ' || f WHEN share THEN g || ' ' || g2 || ' ' || f ELSE g || ' ' || f END AS raw FROM n),
+c AS (SELECT {cleaned('raw')} AS name, CAST(ord AS BIGINT) AS ord FROM m)
+SELECT name, ord FROM c WHERE name IS NOT NULL AND len(list_filter({toks('name')}, lambda w: regexp_matches(w, '[0-9]') OR (contains(w, '.') AND NOT regexp_full_match(w, '[A-Za-z]\\.')))) = 0"""
+
+_ODD = ["NA", None, "null", 'Ana "Bo" Li', "Ana, Li\nZoe", "#N/A", "ACME, LLC"]
+ORACLE_SQL["csv_names"] = f"""WITH {RAW}, o AS (SELECT CASE WHEN k % 11 = 0 THEN [{', '.join('NULL' if x is None or x in ('NA', 'null', '#N/A') else lit(x) for x in _ODD)}][(k // 11) % 7 + 1] ELSE raw END AS raw FROM raws),
+c AS (SELECT {cleaned('raw')} AS name FROM o WHERE raw IS NOT NULL) SELECT lower(name) AS folded, count(*) AS n FROM c WHERE name IS NOT NULL GROUP BY 1"""
+ORACLE_SQL["appended_alerts"] = f"SELECT client_name, hit_name, {LABELS}['DISP_TOKEN_ORDER_SWAP'] AS disposition_label, thinking FROM ({MUTATIONS['mut_order_swap']}) m"
+ORACLE_SQL["option_counts"] = """WITH o(k, total, tp, fp, tpp, llm, ex, ge, exp, gep, bad) AS (VALUES
+  (0, 100, NULL, NULL, 50.0, 70.0, NULL, NULL, 2.0, 2.0, false), (1, 101, NULL, NULL, 50.0, 70.0, NULL, NULL, 2.0, 2.0, false), (2, 33, NULL, NULL, 25.0, 70.0, NULL, NULL, 2.0, 2.0, false),
+  (3, 100, 40, NULL, 50.0, 70.0, NULL, NULL, 2.0, 2.0, false), (4, 50, NULL, 7, 50.0, 70.0, NULL, NULL, 2.0, 2.0, false), (5, NULL, 12, 30, 50.0, 70.0, 5, 0, 2.0, 2.0, false),
+  (6, 250, NULL, NULL, 50.0, 70.0, NULL, NULL, 1.0, 3.0, false), (7, 5, NULL, NULL, 50.0, 10.0, NULL, NULL, 2.0, 2.0, false),
+  (8, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true), (9, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true), (10, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true)),
+a AS (SELECT *, coalesce(tp, total - fp, CAST(round_even(tpp / 100.0 * total, 0) AS BIGINT)) AS t FROM o), b AS (SELECT *, coalesce(fp, total - t) AS f FROM a)
+SELECT CAST(k AS BIGINT) AS k, CASE WHEN NOT bad THEN CAST(t AS BIGINT) END AS num_tp, CASE WHEN NOT bad THEN CAST(f AS BIGINT) END AS num_fp, CASE WHEN NOT bad THEN round(CAST(t AS DOUBLE) / (t + f) * 100.0, 6) END AS tp_pct,
+  CASE WHEN NOT bad THEN CAST(llm AS DOUBLE) END AS llm_pct, CASE WHEN NOT bad THEN CAST(coalesce(ex, round_even(exp / 100.0 * (t + f), 0)) AS BIGINT) END AS exact,
+  CASE WHEN NOT bad THEN CAST(coalesce(ge, round_even(gep / 100.0 * (t + f), 0)) AS BIGINT) END AS gender, bad AS error FROM b"""
+_TP_WEIGHTED = values([(c, 3.0 if c == "DISP_MINOR_TYPO" else 1.0) for c in v.TRUE_POSITIVE if c != "DISP_EXACT_NAME_MATCH"], "z(code, weight)")
+_FP_WEIGHTED = values([(c, 0.5 if c == "DISP_SURNAME_CONFLICT" else 1.0) for c in v.FALSE_POSITIVE], "z(code, weight)")
+ORACLE_SQL["option_plan"] = f"""WITH n AS (SELECT count(*) AS n FROM customer), t AS (SELECT CAST(round_even(n / 2.0, 0) AS BIGINT) AS tp, n - CAST(round_even(n / 2.0, 0) AS BIGINT) AS fp FROM n)
+SELECT code, 'TP' AS family, quota FROM {apportioned('(SELECT code, CAST(weight AS DOUBLE) AS weight, tp FROM ' + _TP_WEIGHTED + ', t) y', 'tp')} a
+UNION ALL SELECT code, 'FP', quota FROM {apportioned('(SELECT code, CAST(weight AS DOUBLE) AS weight, fp FROM ' + _FP_WEIGHTED + ', t) y', 'fp')} b"""
+_CURATED = [x for x, _ in v.ACCENTED]
+ORACLE_SQL["synthesised_names"] = f"""WITH {POOL}, s AS (SELECT x, row_number() OVER (ORDER BY md5(x || '42')) - 1 AS ix FROM (SELECT DISTINCT t[-1] AS x FROM ct) q),
+d AS (SELECT id, 'DISP_DIACRITIC_STRIPPED|' || id AS key FROM range(150) r(id)),
+m AS (SELECT id, {arr(_CURATED)}[{pick('key', 'token', len(_CURATED))} + 1] || ' ' || s.x AS client_name FROM d JOIN s ON s.ix = {pick('key', 'surname', 1).removesuffix(' % 1)')} % (SELECT count(*) FROM s))),
+g AS (SELECT lower(client_name) AS k, arg_min(client_name, id) AS client_name, min(id) AS id FROM m GROUP BY 1)
+SELECT client_name FROM g ORDER BY id LIMIT 50"""

@@ -140,6 +140,55 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.read_alerts(spark, path)
 
 
+#: Odd entries of a file of names, by the key's remainder.
+ODD = ["NA", "", "null", 'Ana "Bo" Li', "Ana, Li\nZoe", "#N/A", "ACME, LLC"]
+
+
+def csv_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names written as a CSV file with other columns, missing values, quotes and line ends, read by the resolved name column, cleaned, first spelling kept."""
+    path = f"{scratch_dir(spark)}/names-{uuid.uuid4().hex}"
+    k = F.col("k")
+    odd = F.when(k % 11 == 0, F.get(s.words(ODD), (F.floor(k / 11) % len(ODD)).cast("int"))).otherwise(F.col("raw"))
+    raw_names(spark, sf_dir).select(k.alias("id"), odd.alias(" Full_Name "), F.lit("x").alias("name2")).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    found = src.read_names(spark, path)
+    return found.select(src.clean(F.col("raw")).alias("name")).where("name is not null").groupBy(F.lower("name").alias("folded")).agg(F.count("*").alias("n"))
+
+
+def streamed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of one code, appended in three parts as a stream's batches are, read again."""
+    path = f"{scratch_dir(spark)}/parts-{uuid.uuid4().hex}"
+    made = assign.as_alerts(mutate.candidates(clients(spark, sf_dir), "DISP_TOKEN_ORDER_SWAP"))
+    for part in range(3):
+        src.append_alerts(made.where(F.pmod(F.crc32("client_name"), F.lit(3)) == part), path)
+    return src.read_alerts(spark, path).select("client_name", "hit_name", "disposition_label", "thinking")
+
+
+OPTION_GRID = [
+    {}, {"total_samples": 101}, {"total_samples": 33, "tp_percentage": 25.0, "fp_percentage": None}, {"num_true_positives": 40}, {"num_false_positives": 7, "total_samples": 50},
+    {"num_true_positives": 12, "num_false_positives": 30, "num_exact_matches": 5, "num_gender_variants": 0}, {"total_samples": 250, "exact_match_percentage": 1.0, "gender_variant_percentage": 3.0},
+    {"ollama_percentage": None, "fuzzy_percentage": None, "total_samples": 5}, {"total_samples": 0}, {"tp_percentage": 60.0, "fp_percentage": 60.0}, {"num_true_positives": 3, "num_false_positives": 3, "num_exact_matches": 9},
+]
+
+
+def option_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a grid of options comes to: counts and shares, or an error."""
+    rows = []
+    for k, told in enumerate(OPTION_GRID):
+        try:
+            c = quotas.resolve_counts(quotas.Options(**told))
+            rows.append((k, c.num_tp, c.num_fp, round(c.tp_pct, 6), c.llm_pct, c.exact, c.gender, False))
+        except ValueError:
+            rows.append((k, None, None, None, None, None, None, True))
+    return spark.createDataFrame(rows, "k long, num_tp long, num_fp long, tp_pct double, llm_pct double, exact long, gender long, error boolean")
+
+
+def option_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan of a weighted run whose weights and excludes come as text, for as many records as there are customers."""
+    n = spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    o = quotas.Options(total_samples=n, disposition_balance="weighted", disposition_weights='{"DISP_MINOR_TYPO": 3, "DISP_SURNAME_CONFLICT": 0.5}', disposition_exclude=" disp_exact_name_match ,,", num_exact_matches=0, num_gender_variants=0)
+    return quotas.resolve_plan(spark, o, quotas.resolve_counts(o)).select("code", "family", "quota")
+
+
 def merge_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pairs(spark, sf_dir).select("client_name", "hit_name", "disposition_code")
     return audit.merge_first(p.where("disposition_code like 'DISP_M%'"), p).groupBy("disposition_code").agg(F.count("*").alias("n"))
@@ -222,6 +271,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_alerts": lambda spark, d: assign.legacy_alerts(clients(spark, d), 60, 40, 10, num_gender=2),
     "synthesised_names": lambda spark, d: capability.synthesised(spark, clients(spark, d), "DISP_DIACRITIC_STRIPPED", 50),
     "generated_names": lambda spark, d: src.generated_names(spark, 40),
+    "csv_names": csv_names,
+    "appended_alerts": streamed_names,
+    "option_counts": option_counts,
+    "option_plan": option_plan,
     "audit_pairs": _on(lambda d: audit.audit_pairs(d).select("k", "disposition_code", "problem"), pairs),
     "audit_summary": _on(lambda d: audit.label_report(d).select("disposition_code", "n"), pairs),
     "balance_check": lambda spark, d: audit.balance(pairs(spark, d), quota_floors(spark, d)),

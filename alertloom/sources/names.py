@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,13 +21,16 @@ def name_column(columns: list[str], wanted: str | None = None) -> str:
     return next((c for c in columns if c.strip().lower() in v.NAME_COLUMNS), columns[0])
 
 
-def read_names(spark: SparkSession, path: str, column: str | None = None) -> DataFrame:
-    """(raw, ord): the name column of a CSV file without missing values; no rows if the file isn't there."""
+def read_names(spark: SparkSession, path: str, column: str | None = None, multi_line: bool = True) -> DataFrame:
+    """(raw, ord): the name column of a CSV file without missing values; no rows if the file isn't there.
+
+    Quoted fields may hold line ends; without multi_line they may not, and a large file is split among tasks.
+    """
     empty = spark.createDataFrame([], "raw string, ord long")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return empty
-    df = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     if not df.columns:
         return empty
     raw = F.col(f"`{name_column(df.columns, column)}`").cast("string")
@@ -79,16 +83,29 @@ def world_names(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(n, r, k) for k, (n, r) in enumerate(rows)], "name string, region string, ord long")
 
 
+def locale_names(locale: str) -> tuple[list[str], list[str]] | None:
+    """Given names and surnames that a locale draws from, those of its region; None for a locale that isn't known."""
+    region = v.REGION_OF.get(locale.partition("_")[0].lower())
+    names = v.WORLD_NAMES.get(region, [])
+    return (sorted({n.split()[0] for n in names}), sorted({n.split()[-1] for n in names})) if names else None
+
+
 def generated_names(spark: SparkSession, per_locale: int = 150, locales: list[str] | None = None, middle_share: float = 0.35, seed: str = "42") -> DataFrame:
-    """(name, ord): invented names per locale from the curated given names and surnames; every fifth as the locale writes them, a share with a middle name."""
-    if per_locale <= 0:
+    """(name, ord): invented names per locale from the given names and surnames of its region; every fifth as the locale writes them, a share with a middle name.
+
+    Locales that aren't known are left out, with a warning.
+    """
+    known = [(k, x, *found) for k, x in enumerate(locales or v.LOCALES) if (found := locale_names(x))]
+    for x in locales or ():
+        if locale_names(x) is None:
+            warnings.warn(f"locale {x!r} isn't known and is left out", stacklevel=2)
+    if per_locale <= 0 or not known:
         return spark.createDataFrame([], "name string, ord long")
-    givens = sorted({n.split()[0] for names in v.WORLD_NAMES.values() for n in names} | {a for pair in v.GENDERED for a in pair} | {x for x, _ in v.ACCENTED})
-    places = spark.createDataFrame([(k, x) for k, x in enumerate(locales or v.LOCALES)], "place long, locale string")
+    places = spark.createDataFrame(known, "place long, locale string, givens array<string>, families array<string>")
     rows = places.crossJoin(F.broadcast(spark.range(per_locale).withColumnRenamed("id", "ix")))  # both sides are parameters of a few rows
     key = F.concat_ws("|", "locale", F.col("ix").cast("string"))
-    one = lambda salt, xs: F.get(words(xs), pick(key, salt, len(xs), seed).cast("int"))
-    given, second, family = one("given", givens), one("second", givens), one("family", v.SURNAMES)
+    one = lambda salt, xs: F.get(xs, pick(key, salt, F.size(xs), seed).cast("int"))
+    given, second, family = one("given", F.col("givens")), one("second", F.col("givens")), one("family", F.col("families"))
     share = pick(key, "share", 1000, seed) < int(1000 * middle_share)
     name = F.when((F.col("ix") > 0) & (F.col("ix") % 5 == 0), F.concat_ws(" ", F.lit("Dr."), given, family)).when(share, F.concat_ws(" ", given, second, family)).otherwise(F.concat_ws(" ", given, family))
     made = rows.select(clean(name).alias("name"), (F.col("place") * per_locale + F.col("ix")).alias("ord"))
@@ -117,7 +134,7 @@ def load_names(spark: SparkSession, path: str | None = None, column: str | None
     return first_wins(whole, "rank", "ord", "name").select("name", "src", "ord")
 
 
-def write_alerts(alerts: DataFrame, path: str, single: bool = True) -> None:
+def write_alerts(alerts: DataFrame, path: str, single: bool = False) -> None:
     """The output columns as CSV with a header, quotes doubled; one file if `single`."""
     df = alerts.select(*v.OUTPUT)
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from alertloom.functions import strings as s
@@ -70,6 +71,10 @@ def test_csv_source_and_first_wins(spark, tmp_path):
     assert [(r.name, r.src) for r in got] == [("Ahmed Al-Zomor", "csv")]
     assert src.load_names(spark, str(tmp_path / "none.csv"), augment=False, generate=False).count() == 122
     assert src.generated_names(spark, 0).count() == 0
+    with pytest.warns(UserWarning):
+        some = src.generated_names(spark, 30, ["cs_CZ", "xx_XX", "es_ES"]).collect()
+    assert {r.ord // 30 for r in some} == {0, 2}
+    assert {r.name.split()[-1] for r in some if r.ord < 30} <= set(src.locale_names("pl_PL")[1])
 
 
 def test_made_up_names_draw_from_every_token(spark):
