@@ -123,6 +123,12 @@ def integrity(alerts: DataFrame) -> DataFrame:
     )
 
 
+def integrity_verdict(alerts: DataFrame, exact: int, gender: int) -> DataFrame:
+    """One row: what was planned of the two reserved kinds, what there is, and whether all of it holds."""
+    ok = (F.col("identical") == exact) & (F.col("identical_labelled") == F.col("identical")) & (F.col("gender") == gender) & (F.col("gender_labelled") == F.col("gender")) & (F.col("typos_that_are_gender_pairs") == 0)
+    return integrity(alerts).select(F.lit(exact).cast("long").alias("exact_planned"), F.col("identical").alias("exact_emitted"), F.lit(gender).cast("long").alias("gender_planned"), F.col("gender").alias("gender_emitted"), ok.alias("ok"))
+
+
 def distribution(alerts: DataFrame) -> DataFrame:
     """(disposition_code, disposition_label, n, percent) by code."""
     counts = alerts.groupBy("disposition_code").agg(F.count("*").alias("n"))

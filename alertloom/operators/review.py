@@ -110,8 +110,16 @@ def or_fallback(answers: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def tallies(answers: DataFrame) -> DataFrame:
-    return answers.agg(F.coalesce(F.sum("plausibility"), F.lit(0)).alias("plausibility"), F.coalesce(F.sum("decision_fixed"), F.lit(0)).alias("decision"), F.coalesce(F.sum("code_fixed"), F.lit(0)).alias("disposition_code"), F.count_if(F.col("error").isNotNull()).alias("errors"))
+def tallies(answers: DataFrame, strict: bool = True) -> DataFrame:
+    """One row: corrections of labels, answers of another decision than asked for, of another code than assigned (if strict), and unusable ones."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    usable = F.col("error").isNull()
+    other = usable & F.col("target_decision").isNotNull() & (F.col("decision") != F.col("target_decision"))
+    code = usable & ~other & (F.col("decision_fixed") == 0) & F.col("enforce_code").isNotNull() & (F.col("code_fixed") > 0) & F.lit(strict)
+    return answers.agg(
+        total("plausibility").alias("plausibility"), total("decision_fixed").alias("decision"), total("code_fixed").alias("disposition_code"),
+        F.count_if(F.coalesce(other, F.lit(False))).alias("decision_mismatch"), F.count_if(F.coalesce(code, F.lit(False))).alias("code_mismatch_discards"), F.count_if(~usable).alias("errors"),
+    )
 
 
 def system_prompt() -> str:

@@ -404,3 +404,10 @@ d AS (SELECT id, 'DISP_DIACRITIC_STRIPPED|' || id AS key FROM range(150) r(id)),
 m AS (SELECT id, {arr(_CURATED)}[{pick('key', 'token', len(_CURATED))} + 1] || ' ' || s.x AS client_name FROM d JOIN s ON s.ix = {pick('key', 'surname', 1).removesuffix(' % 1)')} % (SELECT count(*) FROM s))),
 g AS (SELECT lower(client_name) AS k, arg_min(client_name, id) AS client_name, min(id) AS id FROM m GROUP BY 1)
 SELECT client_name FROM g ORDER BY id LIMIT 50"""
+ORACLE_SQL["llm_tallies"] = f"""WITH {ANSWERS}, w AS (SELECT *, NOT bad AND d2 <> target AS other FROM ans)
+SELECT CAST(sum(plausibility) AS BIGINT) AS plausibility, CAST(sum(decision_fixed) AS BIGINT) AS decision, CAST(sum(code_fixed) AS BIGINT) AS disposition_code, count(*) FILTER (other) AS decision_mismatch,
+  count(*) FILTER (NOT bad AND NOT other AND decision_fixed = 0 AND k % 5 = 0 AND code_fixed > 0) AS code_mismatch_discards, count(*) FILTER (bad) AS errors FROM w"""
+ORACLE_SQL["integrity_verdict"] = f"""WITH u AS ({ORACLE_SQL['unique_pairs']}), x AS (SELECT count(*) FILTER (client_name = hit_name) AS e, count(*) FILTER (disposition_code = 'DISP_GIVEN_NAME_GENDER_VARIANT') AS g FROM u)
+SELECT CAST(20 AS BIGINT) AS exact_planned, e AS exact_emitted, CAST(15 AS BIGINT) AS gender_planned, g AS gender_emitted, e = 20 AND g = 15 AS ok FROM x"""
+ORACLE_SQL["closure_report"] = f"""WITH {PAIRS} SELECT disposition_code, count(*) AS n, 'x' AS example FROM p WHERE k % 3 = 0 GROUP BY disposition_code"""
+ORACLE_SQL["model_load"] = f"WITH {FLOORS} SELECT CAST(sum(CASE WHEN code = 'DISP_EXACT_NAME_MATCH' THEN 0 ELSE quota - CAST(floor(0.3 * quota) AS BIGINT) END) AS BIGINT) AS asked, CAST(201 - 4 - floor(0.3 * (100 - 4)) - floor(0.3 * (101 - 4)) AS BIGINT) AS free_running FROM fl"

@@ -35,7 +35,7 @@ class Options:
     disposition_exclude: str | None = None
     faker_locales: str | None = None
     batch_size: int = 20
-    allow_rebalance: bool = False
+    allow_disposition_rebalance: bool = False
     seed: str = "42"
 
 
@@ -180,6 +180,14 @@ def split_sources(plan: DataFrame, alpha: float) -> DataFrame:
     return plan.withColumn("a", a.cast("long")).withColumn("b", (F.col("quota") - F.col("a")).cast("long"))
 
 
+def model_load(c: Counts, plan: DataFrame | None) -> int:
+    """Records that a run sends to the model: what the plan's codes leave to it, or, without a plan, what the two decisions do and the reserved cross-gender records."""
+    alpha = c.rule_pct / 100.0
+    if plan is not None:
+        return split_sources(plan, alpha).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
+    return c.num_tp + c.num_fp - c.exact - math.floor(alpha * (c.num_tp - c.exact)) - math.floor(alpha * (c.num_fp - c.gender))
+
+
 def slots(plan: DataFrame) -> DataFrame:
     """One row per record to make: (code, slot from 1)."""
     return plan.where("quota > 0").select("code", F.explode(F.sequence(F.lit(1).cast("long"), F.col("quota"))).alias("slot"))

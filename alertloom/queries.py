@@ -279,6 +279,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_summary": _on(lambda d: audit.label_report(d).select("disposition_code", "n"), pairs),
     "balance_check": lambda spark, d: audit.balance(pairs(spark, d), quota_floors(spark, d)),
     "category_integrity": _on(audit.integrity, pairs),
+    "integrity_verdict": lambda spark, d: audit.integrity_verdict(deterministic_alerts(spark, d), 20, 15),
+    "closure_report": _on(lambda d: audit.closure_report(d.withColumn("thinking", F.when(F.col("k") % 3 == 0, "x").otherwise(s.closure(F.col("disposition_code"), F.col("decision"))))), pairs),
+    "model_load": lambda spark, d: quotas.split_sources(quota_floors(spark, d), 0.3).agg(F.sum("b").alias("asked")).select("asked", F.lit(quotas.model_load(quotas.resolve_counts(quotas.Options(total_samples=201, disposition_balance="off")), None)).cast("long").alias("free_running")),
     "distribution": _on(audit.distribution, pairs),
     "unique_check": _on(audit.uniqueness, pairs),
     "merge_dedupe": merge_dedupe,

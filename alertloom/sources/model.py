@@ -1,21 +1,25 @@
 """Model connector: a chat client called from partitions with bounded concurrency, retries and backoff; and model discovery.
 
-The client is any function (system, user) -> answer text that workers can import or unpickle; none is built in,
-so a run without one stays offline and rule-based. Write the answers before using them twice: a model may answer
+The client is any function (system, user) -> answer text that workers can import or unpickle; `HttpChat` is one for
+a service in the network. Write the answers before using them twice: a model may answer
 otherwise when a task is run again.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import time
+import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.review import reviewable, system_prompt, user_prompt
+from ..operators.review import THINKING_NAMES, reviewable, system_prompt, user_prompt
 
 ATTEMPTS = 4
 Chat = Callable[[str, str], str]
@@ -31,16 +35,64 @@ def backoff(attempt: int, error: str) -> float:
     return (3.0 if busy else 1.0) * (attempt + 1)
 
 
+def check_usable(content: str) -> None:
+    """ValueError for an answer without a JSON object or without reasoning in it: such answers are asked for again."""
+    text = content.strip()
+    if text.startswith("```"):
+        text = re.sub(r"\s*```$", "", re.sub(r"(?i)^```(?:json)?\s*", "", text))
+    for part in (text, text[text.find("{") : text.rfind("}") + 1]):
+        try:
+            data = json.loads(part)
+        except ValueError:
+            continue
+        if isinstance(data, dict):
+            if any(data.get(n) for n in THINKING_NAMES):
+                return
+            raise ValueError("no reasoning")
+    raise ValueError("no JSON")
+
+
 def ask(chat: Chat, system: str, user: str, wait: Callable[[float], None] = time.sleep) -> str | None:
+    """The answer, or null after ATTEMPTS failures; a failure is an error of the client or an answer that can't be used."""
     for attempt in range(ATTEMPTS):
         try:
-            return chat(system, user)
+            content = chat(system, user)
+            check_usable(content)
+            return content
         except Exception as e:  # a client may fail in any way; the pair then falls back to its rule-based record
             if attempt < ATTEMPTS - 1:
                 wait(backoff(attempt, str(e)))
     return None
 
 
+ANSWER_SCHEMA = {
+    "type": "object",
+    "properties": {"matching_text": {"type": "string"}, "disposition_code": {"type": "string"}, "thinking": {"type": "string"}, "decision": {"type": "string"}},
+    "required": ["matching_text", "disposition_code", "thinking", "decision"],
+}
+
+
+@dataclass(frozen=True)
+class HttpChat:
+    """A chat client of a model service with the routes /api/chat and /api/tags; workers can unpickle it. Answers follow ANSWER_SCHEMA."""
+
+    url: str
+    model: str
+    temperature: float = 0.7
+    timeout: float = 300.0
+
+    def __call__(self, system: str, user: str) -> str:
+        body = {"model": self.model, "messages": [{"role": "system", "content": system}, {"role": "user", "content": user}], "format": ANSWER_SCHEMA, "options": {"temperature": self.temperature}, "stream": False}
+        request = urllib.request.Request(f"{self.url}/api/chat", json.dumps(body).encode(), {"Content-Type": "application/json"})
+        with urllib.request.urlopen(request, timeout=self.timeout) as got:
+            return json.load(got)["message"]["content"]
+
+
+def list_models(url: str, timeout: float = 10.0) -> list[str]:
+    with urllib.request.urlopen(f"{url}/api/tags", timeout=timeout) as got:
+        return [m["name"] for m in json.load(got)["models"]]
+
+
 def answers(pairs: DataFrame, chat: Chat, batch_size: int = 20, model: str = "") -> DataFrame:
     """pairs (client_name, hit_name, target_decision, enforce_code, ...) with content, the model's answer or null."""
     system, many = system_prompt(), concurrency(model, batch_size)

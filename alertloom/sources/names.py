@@ -134,10 +134,10 @@ def load_names(spark: SparkSession, path: str | None = None, column: str | None
     return first_wins(whole, "rank", "ord", "name").select("name", "src", "ord")
 
 
-def write_alerts(alerts: DataFrame, path: str, single: bool = False) -> None:
-    """The output columns as CSV with a header, quotes doubled; one file if `single`."""
+def write_alerts(alerts: DataFrame, path: str, single: bool = False, rows_per_file: int = 0) -> None:
+    """The output columns as CSV with a header, quotes doubled; one file if `single`, files of at most rows_per_file rows if that is given."""
     df = alerts.select(*v.OUTPUT)
-    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
@@ -147,7 +147,7 @@ def append_alerts(alerts: DataFrame, path: str) -> None:
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     schema = ", ".join(f"{c} string" for c in v.OUTPUT)
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).option("nullValue", "\0").option("emptyValue", "").csv(path)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).option("nullValue", "\0").option("emptyValue", "").csv(path).select(*v.OUTPUT)
 
 
 def local_weights(raw: str | None) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import vocab as v
 from ..operators.mutate import candidates
 from ..plans.assign import as_alerts, pair_key
-from ..sources.names import append_alerts, clean
+from ..sources.names import clean, write_alerts
 
 
 def name_stream(spark: SparkSession, folder: str, column: str = "name") -> DataFrame:
@@ -19,7 +19,11 @@ def name_stream(spark: SparkSession, folder: str, column: str = "name") -> DataF
 
 
 def alert_stream(names: DataFrame, codes: list[str], event_time: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """Candidates of stateless codes; pairs met before are dropped, within the delay if there is an event time."""
+    """Candidates of stateless codes; pairs met before are dropped.
+
+    With an event time what was seen is kept for the delay only; without one it is kept for good, so a stream without
+    end needs an event time.
+    """
     whole = None
     for code in codes:
         one = candidates(names, code)
@@ -30,6 +34,10 @@ def alert_stream(names: DataFrame, codes: list[str], event_time: str | None = No
     return as_alerts(keyed.dropDuplicates(["pair_key"]))
 
 
-def write_stream(alerts: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Append each micro-batch to a folder of CSV files."""
-    return alerts.select(*v.OUTPUT).writeStream.foreachBatch(lambda df, _: append_alerts(df, folder)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def write_stream(alerts: DataFrame, folder: str, checkpoint: str, rows_per_file: int = 250) -> StreamingQuery:
+    """Each micro-batch as CSV files of at most rows_per_file rows in a folder of its own, named by its number: a batch that runs again after a restart takes its own place."""
+
+    def emit(df: DataFrame, batch: int) -> None:
+        write_alerts(df, f"{folder}/batch={batch}", rows_per_file=rows_per_file)
+
+    return alerts.select(*v.OUTPUT).writeStream.foreachBatch(emit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
