@@ -19,7 +19,6 @@ cycle have no root and are left out; ties in score go to the smaller leaf id; ot
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,8 +30,7 @@ from .common import cut, table
 ROLES = {"user": "User", "assistant": "Assistant", "system": "System"}
 NAMES = {v: k for k, v in ROLES.items()}
 END = "</turn>\n"
-SEGMENT = re.compile(r"### (?:(User|Assistant|System)|\[((?:[^\]\\]|\\.)*)\]): ((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.S)
-ESCAPED = re.compile(r"\\(.)", re.S)
+MARK, CLOSE = "### ", "</turn>"
 
 
 def turns_as_chain(turns: DataFrame) -> DataFrame:
@@ -98,18 +96,40 @@ def conversations_text(turns: DataFrame) -> DataFrame:
 
 
 def unescape(text: str) -> str:
-    return ESCAPED.sub(r"\1", text)
+    """Without escapes; pairs of backslashes are found from the left, so a lone one in between is an escape."""
+    return "\\".join(x.replace("\\", "") for x in text.split("\\\\")) if "\\" in text else text
+
+
+def _plain(text: str, mark: str, at: int) -> int:
+    """Where the next `mark` stands that no backslash escapes, or -1."""
+    while (at := text.find(mark, at)) >= 0:
+        n = at
+        while n and text[n - 1] == "\\":
+            n -= 1
+        if (at - n) % 2 == 0:
+            return at
+        at += 1
+    return -1
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:
-    """(role, text) of each turn of a formatted text; raises ValueError on anything else."""
+    """(role, text) of each turn of a formatted text, found by searching its marks; raises ValueError on anything else."""
     out, at = [], 0
     while at < len(formatted):
-        m = SEGMENT.match(formatted, at)
-        if not m:
+        begin = at + len(MARK)
+        name = next((n for n in NAMES if formatted.startswith(f"{n}: ", begin)), None)
+        if name:
+            role, body = NAMES[name], begin + len(name) + 2
+        else:
+            stop = _plain(formatted, "]", begin + 1) if formatted.startswith("[", begin) else -1
+            if stop < 0 or not formatted.startswith("]: ", stop):
+                raise ValueError(f"no turn at {at}")
+            role, body = unescape(formatted[begin + 1 : stop]), stop + 3
+        end = _plain(formatted, CLOSE, body)
+        if not formatted.startswith(MARK, at) or end < 0 or not formatted.startswith(END, end):
             raise ValueError(f"no turn at {at}")
-        out.append((NAMES[m[1]] if m[1] else unescape(m[2]), unescape(m[3])))
-        at = m.end()
+        out.append((role, unescape(formatted[body:end])))
+        at = end + len(END)
     return out
 
 

@@ -47,7 +47,7 @@ GROUP_BYTES, SUFFIX_BYTES = 2 << 20, 24
 #: A prefix with more suffixes is lengthened to the window.
 HOT_LOAD, HOT_BITS = 1 << 15, 1 << 23
 #: Anchors, and single suffixes, that a task gathers before it sums them up.
-GATHERED, SINGLES = 500_000, 300_000
+GATHERED, SINGLES = 250_000, 250_000
 FILED = "p int, settled boolean, anchors binary, ids binary, many binary, loads binary"
 HELD = "_id long, anchor long, load long"
 NODES = "p int, kind int, ids binary, tags binary, starts binary, counts binary, words binary, w binary, v binary"

@@ -9,8 +9,8 @@ import pyarrow as pa
 
 from .common import mix
 
-#: Bytes handled at once; a longer document is handled alone and whole, its hashes in blocks of this size.
-SLICE_BYTES = 1_000_000
+#: Bytes of documents handled at once (a longer document alone and whole), and bytes hashed at once.
+SLICE_BYTES, BLOCK_BYTES = 1_000_000, 1 << 18
 #: A word's hash is the sum of a random value for each byte times a power of BASE by its place in the word.
 BASE = 0x9E3779B97F4A7C15
 _VALUES = np.random.default_rng(20240229).integers(0, 2**64, 256, np.uint64)
@@ -22,14 +22,14 @@ _POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**k and BASE**-k for k below n, modulo 2**64; kept up to the size of a slice."""
+    """BASE**k and BASE**-k for k below n, modulo 2**64; kept up to the size of two blocks."""
     if not _POWERS or len(_POWERS[0]) < n:
         made = []
         for base in (BASE, pow(BASE, -1, 2**64)):
             steps = np.full(n, base, np.uint64)
             steps[0] = 1
             made.append(np.cumprod(steps))
-        if n > 2 * SLICE_BYTES:
+        if n > 2 * BLOCK_BYTES:
             return made[0], made[1]
         _POWERS[:] = made
     return _POWERS[0][:n], _POWERS[1][:n]
@@ -40,7 +40,7 @@ def word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, hashes = [], []
     lo = 0
     while lo < len(text):
-        hi = lo + SLICE_BYTES
+        hi = lo + BLOCK_BYTES
         if hi < len(text):  # cut at a blank: behind the last one of the block, else at the next
             blanks = np.flatnonzero(_SPACE[text[lo:hi]])
             if len(blanks):

@@ -508,6 +508,35 @@ def test_chat_round_trip(spark, tmp_path):
     assert chat.read_back(chat.format_turns(m.limit(0), chat.reply_paths(m.limit(0)))).count() == 0
 
 
+def test_chat_parse_of_hostile_and_long_texts():
+    rng = np.random.default_rng(16)
+    bits = ["\\", "### ", "</turn>", "</turn>\n", "]: ", "a", "\n", "User: ", "["]
+    esc = lambda t: re.sub(r"(\\|### |</turn>)", r"\\\1", t)
+    for _ in range(500):
+        turns = [(["user", "assistant", "".join(rng.choice(bits, 3))][rng.integers(0, 3)], "".join(rng.choice(bits, rng.integers(0, 12)))) for _ in range(rng.integers(1, 4))]
+        head = lambda r: chat.ROLES.get(r) or "[" + re.sub(r"([\\\]])", r"\\\1", r) + "]"
+        assert chat.parse("".join(f"### {head(r)}: {esc(t)}</turn>\n" for r, t in turns)) == turns
+    import resource
+
+    big = ["<" * 5_000_000, "\\" * 5_000_000, "x" * 5_000_000]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for t in big:
+        assert chat.parse(f"### User: {esc(t)}</turn>\n") == [("user", t)]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000  # KB; escaping by the test takes part of it
+    for bad in ("### User: x", "### User: x</turn>", "User: x</turn>\n", "### [a: x</turn>\n", "### User: x\\</turn>\n"):
+        with pytest.raises(ValueError):
+            chat.parse(bad)
+
+
+def test_chat_of_other_columns_and_one_long_text(spark):
+    ship(spark)
+    long = "\\ ### " * 300_000
+    df = spark.createDataFrame([(1, 0, "user", long, "t", 5), (1, 1, "assistant", long, "t", 5)], "conv_id long, turn long, role string, text string, tree string, node int")
+    m = chat.turns_as_chain(df)
+    got = chat.read_back(chat.format_turns(m, chat.reply_paths(m))).first()
+    assert (got.n_turns, got.loss_chars, got.loss_sha256) == (2, len(long), sha(long))
+
+
 def test_reply_trees(spark):
     #      1 -> 2 -> 4, 1 -> 3 -> 5 -> 6; a tree of one; an orphan; a cycle
     nodes = [("a", 1, None, 1.0), ("a", 2, 1, 5.0), ("a", 4, 2, 5.0), ("a", 3, 1, 1.0), ("a", 5, 3, 1.0), ("a", 6, 5, 1.0), ("b", 9, None, 0.0), ("c", 8, 77, 1.0), ("d", 1, 2, 1.0), ("d", 2, 1, 1.0)]
