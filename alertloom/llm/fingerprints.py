@@ -3,7 +3,7 @@
 The canonical text is Unicode-normalised (NFKC), case-folded and has each run of blanks as one space; its
 128-bit xxhash names a bucket. Texts of one bucket are then compared byte by byte, by the least and the
 greatest canonical text of each bucket (partial minima, so a bucket of many copies is summed up before it
-moves). Should a bucket hold different texts, each but the first gets a number behind the hash.
+moves). Should a bucket hold different texts, edited ones included, each but the first gets a number behind the hash.
 
 Neighbours in descending doc_id come from id ranges: a range keeps its documents, and the first document
 of the next range is sent along, so each text moves once.
@@ -111,8 +111,8 @@ def fingerprint_rows(docs: DataFrame, bits: int = 128) -> DataFrame:
     return with_next(docs).mapInArrow(run, FOUND)
 
 
-def collisions(docs: DataFrame, found: DataFrame, bits: int = 128) -> DataFrame:
-    """(h, d, k): for buckets that hold different canonical texts, each text's number k > 0 behind the first."""
+def clashing(docs: DataFrame, found: DataFrame, bits: int = 128) -> DataFrame:
+    """(h): buckets in which documents' canonical texts differ, compared byte by byte."""
     shared = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     ids = cut(found.join(shared, "h", "left_semi").select("_id").distinct())
     rows = docs.select(id_column("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text")).where(id_filter(ids, "_id")("_id"))
@@ -123,19 +123,26 @@ def collisions(docs: DataFrame, found: DataFrame, bits: int = 128) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array([bucket(c, bits) for c in canon], pa.string()), pa.array(canon, pa.binary())], names=["_id", "h", "canon"])
 
     texts = rows.mapInArrow(run, "_id long, h string, canon binary").join(ids, "_id", "left_semi")
-    ends = texts.groupBy("h").agg(F.min("canon").alias("lo"), F.max("canon").alias("hi"))
-    clash = cut(ends.where("lo <> hi").select("h"))
-    if not clash.limit(1).count():
-        return docs.sparkSession.createDataFrame([], "h string, d string, k int")
-    each = texts.join(clash, "h", "left_semi").groupBy("h", "canon").agg(F.count("*").alias("n"))
-    k = F.row_number().over(Window.partitionBy("h").orderBy("canon")) - 1
-    return each.select("h", F.substring(F.sha2("canon", 256), 1, 32).alias("d"), k.alias("k")).where("k > 0")
+    return texts.groupBy("h").agg(F.min("canon").alias("lo"), F.max("canon").alias("hi")).where("lo <> hi").select("h")
+
+
+def numbers(docs: DataFrame, found: DataFrame, bits: int = 128) -> DataFrame:
+    """(h, d, k): for buckets that hold different texts, edited ones included, each text's number k > 0 behind the first. Usually empty."""
+    every = found.select("h", "d").unionAll(found.select(F.col("eh").alias("h"), F.col("ed").alias("d")))
+    others = every.groupBy("h").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo <> hi").select("h")
+    clash = cut(clashing(docs, found, bits).unionAll(others).distinct())
+    if clash.isEmpty():
+        return clash.select("h", F.lit("").alias("d"), F.lit(0).alias("k"))
+    k = F.row_number().over(Window.partitionBy("h").orderBy("d")) - 1
+    return every.join(clash, "h", "left_semi").distinct().withColumn("k", k).where("k > 0")
 
 
 def fingerprints(docs: DataFrame, bits: int = 128) -> DataFrame:
     found = cut(fingerprint_rows(docs, bits))
-    clash = collisions(docs, found, bits)
-    named = found.join(clash, ["h", "d"], "left").join(clash.select(F.col("h").alias("eh"), F.col("d").alias("ed"), F.col("k").alias("ek")), ["eh", "ed"], "left")
+    clash = cut(numbers(docs, found, bits))
+    named = found.withColumns({"k": F.lit(None).cast("int"), "ek": F.lit(None).cast("int")})
+    if not clash.isEmpty():
+        named = found.join(clash, ["h", "d"], "left").join(clash.select(F.col("h").alias("eh"), F.col("d").alias("ed"), F.col("k").alias("ek")), ["eh", "ed"], "left")
     name = lambda h, k: F.when(F.col(k).isNull(), F.col(h)).otherwise(F.concat(h, F.lit("."), F.col(k).cast("string")))
     return named.select(id_back("_id").alias("doc_id"), "n_chars", "edited_sha256", name("h", "k").alias("fingerprint"), name("eh", "ek").alias("edited_fingerprint"), "near_edited", "near_next")
 

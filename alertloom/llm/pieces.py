@@ -1,13 +1,15 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-A batch's new chunks (a run of blanks with the word behind it) are concatenated and indexed by a suffix
-array; every piece of the vocabulary is binary-searched in it for its range of occurrences; the ranges,
-sorted by position, are the edges of a lattice over the batch. Relaxing the edges in the order of their
-score joins neighbouring symbols as long as an edge covers both (ties: leftmost), which is what a BPE
-model of this kind does; characters that no piece covers become their UTF-8 bytes.
+A batch's new chunks (a run of blanks with the word behind it) are concatenated and indexed by a suffix array,
+sorted as deep as the longest piece by prefix doubling; every piece of the vocabulary is binary-searched in it
+for its range of occurrences; the ranges, sorted by position, are the edges of a lattice over the batch.
+Relaxing the edges in the order of their score joins neighbouring symbols as long as an edge covers both (ties:
+leftmost), which is what a BPE model does; characters that no piece covers become their UTF-8 bytes.
 
-Chunks are what such a model never joins across, so each distinct chunk is encoded once while it stays in
-a bounded store. The vocabulary is a file whose path is a parameter; its bytes travel with the job.
+Chunks are what such a model never joins across, so each distinct chunk is encoded once while it stays in a
+store of STORE_CHARS characters. A chunk longer than INDEX_CHARS is indexed block by block and relaxed with some
+20 bytes a character. The vocabulary is a file whose path is a parameter; its bytes travel with the job. A model
+that isn't of this kind (unigram, with a normaliser or symbols of a user) shows in PROBES; then the library encodes.
 
 Defined cases: null text is empty and has no ids; a null doc_id is kept; repeated rows are encoded each; an
 empty table gives an empty result; U+2581 in a text is taken as a space, as the format has it; other columns
@@ -16,9 +18,11 @@ are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -33,6 +37,10 @@ from .common import table
 SPACE, SEPARATOR = "▁", "\0"
 CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 INDEX_CHARS, WIDE = 150_000, 64
+#: Characters of chunks, and ids, that are kept or decoded at once.
+STORE_CHARS, DECODED = 4_000_000, 100_000
+#: Texts that show whether the library would encode otherwise.
+PROBES = ("Hello  world's\n\n \tfoo_bar 1234 (x) \u00e9\u00df\u4e2d\u6587 \U0001f600 ", "  leading <s> \u00a0\u3000\uff21\ufb01 e\u0301 " + "ab" * 70, "a\u2581b  ")
 CODED = "doc_id long, n_ids long, ids binary"
 
 
@@ -55,48 +63,71 @@ class Vocabulary:
         self.unknown = sp.unk_id()
         whole = {i: t.replace(SPACE, " ").encode() for i, t in zip(plain, self.text, strict=True)}
         whole |= {i: bytes([b]) for b, i in self.byte.items()}
+        self.piece_of = {t: k for k, t in enumerate(self.text)}
+        _, self.rank = np.unique(-self.score, return_inverse=True)  # equal scores share a rank
+        self.ranks, self.id_list = self.rank.tolist(), self.ids.tolist()
+        self.library = None
         self.bytes_of = [whole.get(i, "⁇".encode() if i == self.unknown else b"") for i in range(n)]
 
+    def like(self, library) -> bool:
+        """Whether this encodes PROBES as the library does."""
+        texts = [SPACE + t.replace(" ", SPACE) for t in PROBES]
+        mine = [np.frombuffer(b"".join(self.encode_chunks(CHUNKS.findall(t))), "<u4").tolist() for t in texts]
+        return mine == library.encode(list(PROBES))
+
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, piece) of every occurrence of every piece in a text given as code points, sorted by start.
 
-        Suffixes are sorted by their first characters, packed into one 64-bit key by the batch's own
-        alphabet; a piece's range comes from two binary searches, and pieces longer than a key are
-        compared further within their range.
+        Suffixes are ranked by their first characters, packed into a 64-bit key by the batch's own alphabet, then by
+        twice as many, until that is the longest piece. A piece's range of ranks is found by binary search for each
+        part of a key's length, then for each two adjoining parts: behind a part that is full, only its own rank will do.
         """
-        rank = np.zeros(0x110000, np.uint64)
+        alphabet = np.zeros(0x110000, np.uint64)
         present = np.flatnonzero(np.bincount(codes))
-        rank[present] = np.arange(1, len(present) + 1)
+        alphabet[present] = np.arange(1, len(present) + 1)
         bits = 8 if len(present) < 256 else 16 if len(present) < 65536 else 32
         each = 64 // bits
+        many = 1
+        while many * each < self.width:
+            many *= 2
 
-        def keys(rows: np.ndarray) -> np.ndarray:
-            key = np.zeros(len(rows), np.uint64)
+        def packed(rows: np.ndarray) -> np.ndarray:
+            key = np.zeros(rows.shape[:-1], np.uint64)
             for k in range(each):
-                key = key << np.uint64(bits) | (rows[:, k] if k < rows.shape[1] else np.uint64(0))
+                key = key << np.uint64(bits) | rows[..., k]
             return key
 
-        text = np.concatenate([rank[codes], np.zeros(self.width + each, np.uint64)])
-        views = np.lib.stride_tricks.sliding_window_view(text, self.width + each)[: len(codes)]
-        pieces = np.where(self.codes > 0, rank[self.codes], np.uint64(0))
+        n = len(codes)
+        text = np.concatenate([alphabet[codes], np.zeros(many * each + each, np.uint64)])
+        values, rank = np.unique(packed(np.lib.stride_tricks.sliding_window_view(text, each)), return_inverse=True)
+        pieces = np.where(self.codes > 0, alphabet[self.codes], np.uint64(0))
         can = np.flatnonzero(((pieces > 0) | (self.codes == 0)).all(axis=1))
         pieces, length = pieces[can], self.length[can]
-        suffix_keys = keys(views)
-        suffixes = np.argsort(suffix_keys, kind="stable")
-        ordered = suffix_keys[suffixes]
-        low = keys(pieces)
-        spare = (bits * np.maximum(each - length, 0)).astype(np.uint64)
-        lo, hi = np.searchsorted(ordered, low, "left"), np.searchsorted(ordered, low | (np.uint64(1) << spare) - np.uint64(1), "right")
-        many = hi - lo
-        piece = np.repeat(np.arange(len(many)), many)
-        start = suffixes[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - lo, many)]
-        for k in range(each, self.width):
-            more = np.flatnonzero(length[piece] > k)
-            wrong = more[text[start[more] + k] != pieces[piece[more], k]]
-            if len(wrong):
-                right = np.ones(len(piece), bool)
-                right[wrong] = False
-                piece, start = piece[right], start[right]
+        parts = np.zeros((len(can), many * each), np.uint64)
+        parts[:, : self.width] = pieces
+        parts = packed(parts.reshape(len(can), many, each))
+        filled = np.clip(length[:, None] - np.arange(many) * each, 0, each)  # characters of each part
+        spare = (bits * (each - filled)).astype(np.uint64)
+        above = np.where(filled > 0, parts | np.where(filled < each, (np.uint64(1) << (spare % np.uint64(64))) - np.uint64(1), np.uint64(0)), np.uint64(2**64 - 1))
+        lo, hi = np.searchsorted(values, parts, "left"), np.searchsorted(values, above, "right")
+        depth = each
+        while depth < many * each:
+            size = np.int64(len(values) + 1)
+            behind = np.append(rank[depth:], np.zeros(depth, rank.dtype))  # behind the end stand zeros, whose rank is 0
+            values, rank = np.unique(rank * size + behind, return_inverse=True)
+            more = filled[:, 1::2] > 0
+            left_lo, left_hi, right_lo, right_hi = lo[:, ::2], hi[:, ::2], lo[:, 1::2], hi[:, 1::2]
+            low = left_lo * size + np.where(more, right_lo, 0)
+            high = np.where(more, left_lo * size + right_hi, left_hi * size)
+            none = (left_lo >= left_hi) | (more & (right_lo >= right_hi))
+            lo, hi = np.searchsorted(values, low, "left"), np.where(none, 0, np.searchsorted(values, high, "left"))
+            filled, depth = filled[:, ::2] + filled[:, 1::2], 2 * depth
+        suffixes = np.argsort(rank[:n], kind="stable")
+        ordered = rank[:n][suffixes]
+        first, last = np.searchsorted(ordered, lo[:, 0], "left"), np.searchsorted(ordered, hi[:, 0], "left")
+        count = np.maximum(last - first, 0)
+        piece = np.repeat(np.arange(len(can)), count)
+        start = suffixes[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - first, count)]
         order = np.argsort(start, kind="stable")
         return start[order], can[piece[order]]
 
@@ -108,13 +139,11 @@ class Vocabulary:
         starts = np.cumsum(sizes + 1) - sizes - 1
         table = np.full((len(codes), self.width + 1), -1, np.int32)
         table[begin, self.length[piece]] = piece
-        lefts, rights, owners = [], [], []
-        for c in np.flatnonzero(sizes > WIDE):  # too many rounds: one by one
+        wide = {}
+        for c in np.flatnonzero(sizes > WIDE).tolist():  # too many rounds: by their own queue
             lo, hi = np.searchsorted(begin, [starts[c], starts[c] + sizes[c]])
-            at = self.relax(int(sizes[c]), dict(zip(zip((begin[lo:hi] - starts[c]).tolist(), (begin[lo:hi] - starts[c] + self.length[piece[lo:hi]]).tolist(), strict=True), piece[lo:hi].tolist(), strict=True)))
-            lefts.append(starts[c] + at[:-1])
-            rights.append(starts[c] + at[1:])
-            owners.append(np.full(len(at) - 1, c))
+            wide[c] = self.relaxed(chunks[c], self._lengths(begin[lo:hi] - starts[c], piece[lo:hi], int(sizes[c])))
+        lefts, rights, owners = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         rest = np.flatnonzero(sizes <= WIDE)
         owner = np.repeat(rest, sizes[rest])
         left = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[rest]) - sizes[rest] - starts[rest], sizes[rest])
@@ -139,7 +168,22 @@ class Vocabulary:
         left, right, owner = np.concatenate(lefts), np.concatenate(rights), np.concatenate(owners)
         order = np.argsort(left, kind="stable")
         left, right, owner = left[order], right[order], owner[order]
-        return self.ids_of(codes, table[left, np.minimum(right - left, self.width)], left, owner, len(chunks))
+        out = self.ids_of(codes, table[left, np.minimum(right - left, self.width)], left, owner, len(chunks))
+        return [wide.get(c, ids) for c, ids in enumerate(out)] if wide else out
+
+    def _lengths(self, start: np.ndarray, piece: np.ndarray, n: int) -> np.ndarray:
+        """For each place the lengths of the pieces that start there, as bits."""
+        return np.bincount(start, np.ldexp(1.0, self.length[piece] - 1), minlength=n).astype(np.uint64)[:n]
+
+    def encode_long(self, chunk: str) -> bytes:
+        """The ids of a chunk of any length, indexed block by block."""
+        found = []
+        for at in range(0, len(chunk), INDEX_CHARS):
+            codes = np.frombuffer(chunk[at : at + INDEX_CHARS + self.width - 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            start, piece = self.edges(codes)
+            found.append(self._lengths(start, piece, len(codes))[:INDEX_CHARS].astype(np.uint32))
+        return self.relaxed(chunk, np.concatenate(found))
+
 
     def ids_of(self, codes: np.ndarray, piece: np.ndarray, left: np.ndarray, owner: np.ndarray, n: int) -> list[bytes]:
         """Bytes of the ids of each of n chunks; a symbol without a piece is one character and becomes its bytes."""
@@ -155,49 +199,87 @@ class Vocabulary:
         whole = ids.tobytes()
         return [whole[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
 
-    def relax(self, n: int, known: dict[tuple[int, int], int]) -> np.ndarray:
-        """Boundaries of the symbols of one long chunk of n characters; known: its edges (start, stop) -> piece."""
-        score = self.score
-        after, before = list(range(1, n + 1)), list(range(-1, n))  # symbol at i: [i, after[i]); before[j]: where the one that ends at j starts
-        alive = [True] * n
-        heap = [(-score[known[i, i + 2]], i, i + 1, i + 2) for i in range(n - 1) if (i, i + 2) in known]
-        heapq.heapify(heap)
-        while heap:
-            _, i, j, k = heapq.heappop(heap)
-            if not (alive[i] and j < n and alive[j] and after[i] == j and after[j] == k):
+    def relaxed(self, chunk: str, lengths: np.ndarray) -> bytes:
+        """Ids of one chunk; lengths: where its edges are. Places wait in a queue for each rank, so a character takes a few bytes."""
+        n, of, ranks = len(chunk), self.piece_of, self.ranks
+        edge = array("Q" if lengths.dtype == np.uint64 else "I", lengths.tobytes())
+        after, before, alive = array("i", range(1, n + 1)), array("i", range(-1, n)), bytearray(b"\x01") * n  # symbol at i: [i, after[i]); before[j]: where the one that ends at j starts
+        queues: dict[int, tuple[array, list[int]]] = {}
+        waiting: list[int] = []
+
+        def joins(i: int, k: int) -> int:
+            """The rank of the edge over [i, k), or -1."""
+            return ranks[of[chunk[i:k]]] if k - i <= self.width and edge[i] >> (k - i - 1) & 1 else -1
+
+        def wait(i: int, r: int) -> None:
+            if r not in queues:
+                queues[r] = array("i"), [0]
+                heapq.heappush(waiting, r)
+            places, done = queues[r]
+            if places and places[-1] > i:
+                bisect.insort(places, i, done[0])
+            else:
+                places.append(i)
+
+        for i in range(n - 1):
+            if (r := joins(i, i + 2)) >= 0:
+                wait(i, r)
+        while waiting:
+            r = waiting[0]
+            places, done = queues[r]
+            if done[0] == len(places):
+                heapq.heappop(waiting)
+                del queues[r]
+                continue
+            i = places[done[0]]
+            done[0] += 1
+            j = after[i]
+            if not alive[i] or j >= n or joins(i, after[j]) != r:
                 continue
-            alive[j], after[i], before[k] = False, k, i
-            h, m = before[i], after[k] if k < n else 0
-            if h >= 0 and (h, k) in known:
-                heapq.heappush(heap, (-score[known[h, k]], h, i, k))
-            if k < n and (i, m) in known:
-                heapq.heappush(heap, (-score[known[i, m]], i, k, m))
-        out = [0]
-        while out[-1] < n:
-            out.append(after[out[-1]])
-        return np.array(out)
+            k = after[j]
+            alive[j], after[i], before[k] = 0, k, i
+            h = before[i]
+            if h >= 0 and (x := joins(h, k)) >= 0:
+                wait(h, x)
+            if k < n and (x := joins(i, after[k])) >= 0:
+                wait(i, x)
+        out, i = array("I"), 0
+        while i < n:
+            piece = of.get(chunk[i : after[i]])
+            if piece is None:
+                out.extend([self.byte[b] for b in chunk[i].encode("utf-8", "surrogatepass")] if self.byte else [self.unknown])
+            else:
+                out.append(self.id_list[piece])
+            i = after[i]
+        return out.tobytes()
 
     def decode(self, ids: bytes) -> str:
-        text = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
-        return text.removeprefix(" ")
+        parts = (b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids[k : k + 4 * DECODED], "<u4").tolist())) for k in range(0, len(ids), 4 * DECODED))
+        return b"".join(parts).decode("utf-8", "replace").removeprefix(" ")
 
 
 class Coder:
-    def __init__(self, vocabulary: Vocabulary, limit: int = 500_000):
-        self.vocabulary, self.limit, self.store = vocabulary, limit, {}
+    def __init__(self, vocabulary: Vocabulary, limit: int = STORE_CHARS):
+        self.vocabulary, self.limit, self.store, self.size = vocabulary, limit, {}, 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.vocabulary.library:
+            return [np.array(x, "<u4").tobytes() for x in self.vocabulary.library.encode(texts)]
         cut = [CHUNKS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.store) > self.limit:
-            self.store = {}
+        if self.size > self.limit:
+            self.store, self.size = {}, 0
         new = list(dict.fromkeys(c for chunks in cut for c in chunks if c not in self.store))
         part: list[str] = []
         size = 0
         for c in [*new, None]:
             if part and (c is None or size + len(c) > INDEX_CHARS):
                 self.store.update(zip(part, self.vocabulary.encode_chunks(part), strict=True))
+                self.size += size
                 part, size = [], 0
-            if c is not None:
+            if c is not None and len(c) > INDEX_CHARS:
+                self.store[c] = self.vocabulary.encode_long(c)
+                self.size += len(c)
+            elif c is not None:
                 part.append(c)
                 size += len(c) + 1
         return [b"".join(map(self.store.__getitem__, chunks)) for chunks in cut]
@@ -206,7 +288,12 @@ class Coder:
 @lru_cache(1)
 def _coder(key: str) -> Coder:
     """One for all tasks of a Python worker, as it keeps the chunks it has met."""
-    return Coder(Vocabulary(_MODELS[key]))
+    from sentencepiece import SentencePieceProcessor
+
+    vocabulary, library = Vocabulary(_MODELS[key]), SentencePieceProcessor(model_proto=_MODELS[key])
+    if not vocabulary.like(library):
+        vocabulary.library = library
+    return Coder(vocabulary)
 
 
 _MODELS: dict[str, bytes] = {}

@@ -291,6 +291,44 @@ def test_pieces_equal_sentencepiece_and_round_trip(spark, docs, empty):
     assert [np.frombuffer(c, "<u4").tolist() for c in coder.encode(odd)] == sp.encode(odd)
 
 
+def test_pieces_of_long_chunks_and_many_letters(monkeypatch):
+    import sentencepiece
+
+    path = P.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    voc = pieces.Vocabulary(open(path, "rb").read())
+    rng = np.random.default_rng(17)
+    letters = [chr(x) for x in [*range(97, 123), *range(0x4E00, 0x4E00 + 400), 0x1F600, 0xE9]]
+    texts = ["".join(rng.choice(letters, n)) for n in (30, 300, 3000)] + ["".join(rng.choice(list("abcdetnrs"), 5000)), "a" * 4000, "ab" * 3000, "the" * 900]
+    coder = pieces.Coder(voc)
+    want = sp.encode(texts)
+    assert [np.frombuffer(c, "<u4").tolist() for c in coder.encode(texts)] == want
+    monkeypatch.setattr(pieces, "INDEX_CHARS", 700)
+    assert [np.frombuffer(c, "<u4").tolist() for c in pieces.Coder(voc).encode(texts)] == want
+    assert voc.like(sp)
+    monkeypatch.setattr(voc, "score", voc.score[::-1].copy())
+    assert not voc.like(sp)
+
+
+def test_pieces_edges_are_all_occurrences():
+    voc = pieces.Vocabulary(open(P.path("piece_bpe_32k.model"), "rb").read())
+    for text in ("\u2581international\u2581organizations\0\u2581the\u2581the", "".join(chr(0x4E00 + k) for k in range(300)) + "tion\u2581the"):
+        start, piece = voc.edges(np.array([ord(c) for c in text]))
+        want = sorted((k, t) for t in voc.text for k in range(len(text)) if text.startswith(t, k))
+        assert sorted((int(s), voc.text[p]) for s, p in zip(start, piece, strict=True)) == want
+
+
+def test_pieces_of_a_word_of_a_million_letters():
+    import resource
+
+    voc = pieces.Vocabulary(open(P.path("piece_bpe_32k.model"), "rb").read())
+    word = "".join(np.random.default_rng(18).choice(list("abcdefghijklmnopqrst"), 1_000_000))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    ids = pieces.Coder(voc).encode([word])[0]
+    assert voc.decode(ids) == word
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 150_000  # KB
+
+
 # 5
 
 
@@ -308,7 +346,19 @@ def test_fingerprints(spark, docs, bits):
     by = {}
     for r in out.collect():
         by.setdefault(r.fingerprint, set()).update(canon(t or "") for i, t in DOCS if i == r.doc_id)
-    assert all(len(x) == 1 for x in by.values())  # different texts never share one, however few bits
+    texts = {sha(t[: len(t) - len(t) // 2] + data[(k + 1) % len(data)][1][: len(t) // 2]): canon(t[: len(t) - len(t) // 2] + data[(k + 1) % len(data)][1][: len(t) // 2]) for k, (_, t) in enumerate(data)}
+    for r in out.collect():
+        by.setdefault(r.edited_fingerprint, set()).add(texts[r.edited_sha256])
+    assert all(len(x) == 1 for x in by.values())  # different texts never share one, however few bits, edited ones included
+    assert len({next(iter(x)) for x in by.values()}) == len(by)  # and equal ones always do
+
+
+def test_fingerprints_of_very_long_texts(spark):
+    ship(spark)
+    t = "Ä b\t" * 700_000
+    df = spark.createDataFrame([(1, t), (2, t.lower().replace("\t", "  ")), (3, "x")], "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.fingerprints(df).collect()}
+    assert got[1].fingerprint == got[2].fingerprint != got[3].fingerprint and got[2].near_next == 1.0
 
 
 def test_fingerprints_of_few(spark, empty):
