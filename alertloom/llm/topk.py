@@ -1,17 +1,20 @@
 """Exact top-k search by inner product, block at a time.
 
-Rows become blocks of BLOCK documents with the least and greatest value of each term (dimension) and a
-forward index (the block's matrix). For a query the blocks stand in the order of their bound, the sum over
-terms of the best product that block allows; blocks are scored through their forward index until the next
-bound falls below the k-th score so far (a bound equal to it is still scored, for ties).
+Rows are renumbered within a batch so that similar ones adjoin; a block is a range of BLOCK documents in that
+order, with the least and greatest value of each term (dimension) and a forward index (the block's matrix). For a
+query the blocks stand in the order of their bound, the sum over terms of the best product that block allows;
+blocks are scored through their forward index until the next bound falls below the k-th score so far (a bound equal
+to it is still scored, for ties).
 
-Blocks and queries meet in a grid: each cell holds one share of the blocks and one chunk of at most CHUNK
-queries and returns k rows a query, so no side is broadcast or held whole anywhere.
+Blocks and queries meet in a grid: each cell holds one share of the blocks, CELL_ROWS rows on average, and one chunk
+of at most CHUNK queries and returns k rows a query, so no side is broadcast or held whole anywhere. Rows travel as
+the smallest integers that hold them. An exact search compares each query with each share, so what moves is the rows
+once for every CHUNK queries, and the queries once for every CELL_ROWS rows.
 
 Defined cases: null vectors, and those with null or non-finite components, take no part, nor do rows with a
 null id; shorter vectors count as padded with zeros; a repeated query row is one query; other rows with the
-query's id are no candidates; an empty table gives an empty result; other columns are ignored.
-Components must stay under 2**20 in size for exact 64-bit scores.
+query's id are no candidates; repeated candidate rows are candidates each; an empty table gives an empty result;
+other columns are ignored. Scores are exact; where sizes are such that one could reach 2**53, a ValueError says so.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import parts, table
 
-BLOCK, CHUNK, SCALE, K, EVERY = 128, 4096, 256, 5, 50
+BLOCK, CHUNK, CELL_ROWS, SCALE, K, EVERY = 128, 16384, 1 << 16, 256, 5, 50
 CELLS = "p int, c int, ids binary, rows binary"
 HITS = "query_id long, mark long, vec_id long, score long"
 
@@ -42,7 +45,21 @@ def _matrix(batch: pa.RecordBatch, dims: int) -> tuple[np.ndarray, np.ndarray]:
         if np.isfinite(x).all():
             ids.append(i)
             out.append(x)
-    return np.array(ids, np.int64), np.floor(SCALE * np.array(out).reshape(-1, dims)).astype(np.int64)
+    rows = np.floor(SCALE * np.array(out).reshape(-1, dims))
+    if rows.size and dims * np.abs(rows).max() ** 2 >= 2**53:
+        raise ValueError("components are too large for exact scores")
+    return np.array(ids, np.int64), rows.astype(np.int64)
+
+
+def _packed(rows: np.ndarray) -> bytes:
+    """Integers in the fewest bytes that hold all of them, behind the number of bytes."""
+    most = int(np.abs(rows).max(initial=0))
+    kind = "<i1" if most < 2**7 else "<i2" if most < 2**15 else "<i4" if most < 2**31 else "<i8"
+    return kind[-1].encode() + rows.astype(kind).tobytes()
+
+
+def _unpacked(b: bytes, dims: int) -> np.ndarray:
+    return np.frombuffer(b, f"<i{b[:1].decode()}", offset=1).astype(np.int64).reshape(-1, dims)
 
 
 def _alike(rows: np.ndarray) -> np.ndarray:
@@ -58,7 +75,7 @@ def _quantised(dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, rows = _matrix(b, dims)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["vec_id", "row"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([_packed(r) for r in rows], pa.binary())], names=["vec_id", "row"])
 
     return run
 
@@ -73,13 +90,14 @@ def _cells(kind: str, dims: int, shares: int, chunks: int):
                 order = _alike(rows)
                 ids, rows = ids[order], rows[order]
             else:
-                ids, rows = b.column("vec_id").to_numpy(), np.frombuffer(b"".join(b.column("row").to_pylist()), np.int64).reshape(-1, dims)
+                ids, rows = b.column("vec_id").to_numpy(), np.concatenate([np.empty((0, dims), np.int64), *(_unpacked(r, dims) for r in b.column("row").to_pylist())])
             out = []
             for lo in range(0, len(ids), BLOCK):
                 i, r = ids[lo : lo + BLOCK], rows[lo : lo + BLOCK]
                 where = int(abs(int(i[0]) * 2654435761 + len(i)) >> 7)
                 cells = [(where % shares, c) for c in range(chunks)] if kind == "blocks" else [(p, where % chunks) for p in range(shares)]
-                out += [(p, c, i.tobytes(), r.tobytes()) for p, c in cells]
+                packed = i.tobytes(), _packed(r)
+                out += [(p, c, *packed) for p, c in cells]
             cols = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["p", "c", "ids", "rows"])
 
@@ -92,6 +110,8 @@ def search_cell(blocks: list[tuple[np.ndarray, np.ndarray]], queries: tuple[np.n
 
     wide = max(len(i) for i, _ in blocks)
     dims = blocks[0][1].shape[1]
+    if dims * max(int(np.abs(r).max(initial=0)) for _, r in blocks) * int(np.abs(queries[1]).max(initial=0)) >= 2**53:
+        raise ValueError("components are too large for exact scores")
     ids = np.full((len(blocks), wide), -1, np.int64)
     index = np.zeros((len(blocks), wide, dims))
     used = np.zeros((len(blocks), wide), bool)
@@ -124,8 +144,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     spark = vectors.sparkSession
     vectors, queries = vectors.select(F.col("vec_id").cast("long"), "embedding"), queries.select(F.col("vec_id").cast("long"), "embedding")
     n = queries.count()
-    dims = vectors.unionAll(queries).agg(F.max(F.size("embedding"))).first()[0] or 0
-    dims, chunks, shares = max(dims, 1), max(1, -(-n // CHUNK)), parts(spark)
+    many, wide = vectors.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    dims = max(1, wide or 0, queries.agg(F.max(F.size("embedding"))).first()[0] or 0)
+    chunks, shares = max(1, -(-n // CHUNK)), max(parts(spark), -(-many // CELL_ROWS))
     left = vectors.mapInArrow(_cells("blocks", dims, shares, chunks), CELLS)
     once = queries.mapInArrow(_quantised(dims), "vec_id long, row binary").distinct()  # a repeated query row is one query
     right = once.mapInArrow(_cells("queries", dims, shares, chunks), CELLS)
@@ -134,7 +155,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     def cell(a: pa.Table, b: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if a.num_rows and b.num_rows:
-            read = lambda t: [(np.frombuffer(i, np.int64), np.frombuffer(r, np.int64).reshape(-1, dims)) for i, r in zip(t.column("ids").to_pylist(), t.column("rows").to_pylist(), strict=True)]
+            read = lambda t: [(np.frombuffer(i, np.int64), _unpacked(r, dims)) for i, r in zip(t.column("ids").to_pylist(), t.column("rows").to_pylist(), strict=True)]
             blocks = read(a)
             for q in read(b):
                 out += search_cell(blocks, q, k)

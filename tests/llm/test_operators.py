@@ -160,6 +160,24 @@ def test_topk_takes_a_repeated_query_row_once(spark):
     assert rows(topk.top_k(both, both.where("vec_id = 50"), 5), *HIT) == rows(topk.top_k(v, again, 5), *HIT)
 
 
+def test_topk_with_repeats_clashing_columns_and_many_cells(spark, monkeypatch):
+    ship(spark)
+    rng = np.random.default_rng(19)
+    data = [(int(i), [float(x) for x in row], 1, 2) for i, row in enumerate(rng.normal(size=(300, 6)))]
+    data += data[7:9] + data[7:8]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, score int, rank int").repartition(3)
+    monkeypatch.setattr(topk, "CELL_ROWS", 20)
+    monkeypatch.setattr(topk, "CHUNK", 2)
+    q = [np.floor(256 * np.array(r[1])).astype(int) for r in data]
+    want = []
+    for a in range(0, 300, 50):
+        best = sorted((-int(q[a] @ q[k]), r[0]) for k, r in enumerate(data) if r[0] != a)[:5]
+        want += [(a, n + 1, i, -x) for n, (x, i) in enumerate(best)]
+    assert rows(topk.top_k(df, df.where("vec_id % 50 = 0"), 5), *HIT) == sorted(want, key=repr)
+    with pytest.raises(Exception, match="too large"):
+        topk.top_k(spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>"), df.where("vec_id = 0").select("vec_id", "embedding"), 5).collect()
+
+
 # 3
 
 
