@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 NULL_ID = -(2**63)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
+#: Scratch tables by application, for `clear_scratch`.
+_MADE: dict[str, list[str]] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -39,11 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where that setting is unset (local tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
+    """The shared folder of spark.checkpoint.dir; a temporary one only where that setting is unset and the session is local (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="scratch-")
         spark.sparkContext.setCheckpointDir(f"file://{named}")
     return named.rstrip("/")
@@ -52,6 +54,7 @@ def scratch_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write df once to the shared scratch folder and read it back, so that later jobs don't run its plan again."""
     path = path or scratch_path(df.sparkSession)
+    _MADE.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -60,6 +63,14 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/tables/{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what this application has written by `cut`, once results that read it are written; how many tables there were."""
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for path in made:
+        drop_scratch(spark, path)
+    return len(made)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -15,7 +15,6 @@ from .toxicity import op1_toxicity
 from .urls import op10_url_filter
 
 
-
 def _shipped(query):
     @wraps(query)
     def run(spark, sf_dir):
