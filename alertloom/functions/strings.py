@@ -93,10 +93,16 @@ def _decomposed() -> tuple[str, str, str]:
 def strip_marks(c: Column) -> Column:
     """ASCII part of the compatibility decomposition; letters without one vanish."""
     source, target, longer = _decomposed()
-    table = F.from_json(F.lit(longer), "map<string,string>")
-    letters = F.split(F.regexp_replace(F.translate(c, source, target), r"([^\x00-\x7F])", "\x00$1\x00"), "\x00")
-    spelled = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(spelled, r"[^\x00-\x7F]", "")).otherwise(c)
+    other = r"[^\x00-\x7F]"
+
+    def spelled(text: Column) -> Column:
+        """With what the letters that are left become; few names have any."""
+        table = F.from_json(F.lit(longer), "map<string,string>")
+        letters = F.split(F.regexp_replace(text, f"({other})", "\x00$1\x00"), "\x00")
+        return F.regexp_replace(F.array_join(F.transform(letters, lambda x: F.coalesce(F.when(x.rlike(other), F.try_element_at(table, x)), x)), ""), other, "")
+
+    plain = F.transform(F.array(F.translate(c, source, target)), lambda t: F.when(t.rlike(other), spelled(t)).otherwise(t))
+    return F.when(c.rlike(other), F.get(plain, F.lit(0))).otherwise(c)
 
 
 def folded(c: Column) -> Column:

@@ -17,33 +17,33 @@ def problem_under(client: Column, hit: Column, code: str) -> Column:
     one = even & (F.size(diffs) == 1)
     at = F.get(diffs, F.lit(0))
     only = lambda k: one & (at == k)
-    same = trimmed_lower(client) == trimmed_lower(hit)
+    same = lambda: trimmed_lower(client) == trimmed_lower(hit)
     cx, hx = F.get(c, at), F.get(h, at)
     c0, h0, c1, h1 = (F.get(a, F.lit(k)) for k in (0, 1) for a in (c, h))
     lower_all = lambda a: F.array_sort(F.transform(a, F.lower))
-    first_same = F.lower(c0) == F.lower(h0)
+    first_same = lambda: F.lower(c0) == F.lower(h0)
     rest = lambda a, k: F.slice(a, k, F.greatest(F.size(a), F.lit(1)))
-    removed = (F.size(h) == n - 1) & first_same & (rest(c, 3) == rest(h, 2))
-    added = (F.size(h) == n + 1) & h1.rlike(r"^[A-Za-z]\.$") & first_same & (rest(c, 2) == rest(h, 3))
+    removed = lambda: (F.size(h) == n - 1) & first_same() & (rest(c, 3) == rest(h, 2))
+    added = lambda: (F.size(h) == n + 1) & h1.rlike(r"^[A-Za-z]\.$") & first_same() & (rest(c, 2) == rest(h, 3))
     forms = lambda table, key: F.transform(F.coalesce(lookup(table, key), F.array().cast("array<string>")), F.lower)
-    roman = F.array_contains(forms(v.ROMANISED, F.lower(cx)), F.lower(hx)) | F.array_contains(forms(v.ROMANISED, F.lower(hx)), F.lower(cx))
-    accents = words([f"{a}|{b}" for x, y in v.ACCENTED for a, b in ((x, y), (y, x))])
-    marks = F.array_contains(accents, F.concat_ws("|", cx, hx)) | (strip_marks(cx) == strip_marks(hx))
+    roman = lambda: F.array_contains(forms(v.ROMANISED, F.lower(cx)), F.lower(hx)) | F.array_contains(forms(v.ROMANISED, F.lower(hx)), F.lower(cx))
+    accents = lambda: words([f"{a}|{b}" for x, y in v.ACCENTED for a, b in ((x, y), (y, x))])
+    marks = lambda: F.array_contains(accents(), F.concat_ws("|", cx, hx)) | (strip_marks(cx) == strip_marks(hx))
     plain = lambda x: F.lower(joined(tokens(F.replace(x, F.lit("-"), F.lit(" ")))))
     cl, hl = last(c), last(h)
     tail = lambda form: F.lower(joined(F.slice(h, -F.least(F.size(F.split(form, " ")), F.size(h)), F.size(F.split(form, " ")))))
-    curated = F.exists(forms(v.PHONETIC, F.lower(cl)), lambda f: (F.lower(hl) == f) | (tail(f) == f))
-    middle_new = (F.size(h) == n + 1) & (n >= 2) & first_same & (F.lower(cl) == F.lower(hl)) & h1.isin(v.MIDDLE_NAMES)
+    curated = lambda: F.exists(forms(v.PHONETIC, F.lower(cl)), lambda f: (F.lower(hl) == f) | (tail(f) == f))
+    middle_new = lambda: (F.size(h) == n + 1) & (n >= 2) & first_same() & (F.lower(cl) == F.lower(hl)) & h1.isin(v.MIDDLE_NAMES)
     test = lambda problem, text: F.when(F.coalesce(problem, F.lit(True)), F.lit(text))  # noqa: E731  an open question counts as a problem
     rules = {
-        "DISP_EXACT_NAME_MATCH": lambda: [test(~same, "not an identical name pair")],
+        "DISP_EXACT_NAME_MATCH": lambda: [test(~same(), "not an identical name pair")],
         "DISP_GIVEN_NAME_GENDER_VARIANT": lambda: [test(~is_gender_pair(client, hit), "tokens do not differ by a single curated gendered given name")],
         "DISP_MINOR_TYPO": lambda: [
-            test(same, "pair is identical"),
+            test(same(), "pair is identical"),
             test(is_gender_pair(client, hit), "pair is a curated cross-gender variant (belongs to DISP_GIVEN_NAME_GENDER_VARIANT)"),
             test(F.levenshtein(F.lower(client), F.lower(hit)) > 2, "edit distance exceeds the documented <= 2 typo contract"),
         ],
-        "DISP_TOKEN_ORDER_SWAP": lambda: [test(lower_all(c) != lower_all(h), "token multisets differ (not a pure reordering)"), test(same, "no reordering occurred")],
+        "DISP_TOKEN_ORDER_SWAP": lambda: [test(lower_all(c) != lower_all(h), "token multisets differ (not a pure reordering)"), test(same(), "no reordering occurred")],
         "DISP_MIDDLE_NAME_ABBREVIATED": lambda: [
             test(~only(1), "more than the middle token changed"),
             test((F.length(c1) <= 2) | (h1 != F.concat(F.upper(F.substring(c1, 1, 1)), F.lit("."))), "middle token was not shortened to its initial"),
@@ -53,16 +53,16 @@ def problem_under(client: Column, hit: Column, code: str) -> Column:
             test((F.length(c1) > 2) | (F.length(h1) <= 2), "middle initial was not expanded"),
             test(~h1.isin(v.MIDDLE_NAMES), "expanded middle token is not from the curated middle-name pool"),
         ],
-        "DISP_MIDDLE_NAME_OMITTED": lambda: [F.when(~(F.coalesce(removed, F.lit(False)) | F.coalesce(added, F.lit(False))), "neither a middle-name omission nor an added middle initial")],
-        "DISP_TRANSLITERATION_VARIANT": lambda: [test(~one, "more than one token differs"), test(~roman, "differing token is not a known cross-standard transliteration variant")],
-        "DISP_DIACRITIC_STRIPPED": lambda: [test(~one, "more than one token differs"), test(~marks, "differing token is not a diacritic-only variant")],
-        "DISP_COMPOUND_NAME_RESTRUCTURED": lambda: [test(same, "pair is identical"), test(plain(client) != plain(hit), "a hyphen split/merge does not account for the difference")],
+        "DISP_MIDDLE_NAME_OMITTED": lambda: [F.when(~(F.coalesce(removed(), F.lit(False)) | F.coalesce(added(), F.lit(False))), "neither a middle-name omission nor an added middle initial")],
+        "DISP_TRANSLITERATION_VARIANT": lambda: [test(~one, "more than one token differs"), test(~roman(), "differing token is not a known cross-standard transliteration variant")],
+        "DISP_DIACRITIC_STRIPPED": lambda: [test(~one, "more than one token differs"), test(~marks(), "differing token is not a diacritic-only variant")],
+        "DISP_COMPOUND_NAME_RESTRUCTURED": lambda: [test(same(), "pair is identical"), test(plain(client) != plain(hit), "a hyphen split/merge does not account for the difference")],
         "DISP_SURNAME_CONFLICT": lambda: [test(~only(n - 1), "only the surname may differ for this code"), test(~hl.isin(v.SURNAMES), "replacement surname is not from the curated distinct-surname pool")],
-        "DISP_MIDDLE_NAME_CONFLICT": lambda: [F.when(even & ~F.coalesce(only(1), F.lit(False)), "only the middle token may differ for this code").when(~even & ~F.coalesce(middle_new, F.lit(False)), "neither a conflicting middle token nor an introduced middle name")],
+        "DISP_MIDDLE_NAME_CONFLICT": lambda: [F.when(even & ~F.coalesce(only(1), F.lit(False)), "only the middle token may differ for this code").when(~even & ~F.coalesce(middle_new(), F.lit(False)), "neither a conflicting middle token nor an introduced middle name")],
         "DISP_PHONETIC_SURNAME_DIVERGENCE": lambda: [
-            test(same, "pair is identical"),
+            test(same(), "pair is identical"),
             test((n < 2) | (F.size(h) < 2), "pair is not a multi-token record"),
-            F.when(~curated, F.coalesce(
+            F.when(~curated(), F.coalesce(
                 test(strip_marks(cl) == strip_marks(hl), "surnames differ only by diacritics (belongs to DISP_DIACRITIC_STRIPPED)"),
                 test(F.levenshtein(F.lower(cl), F.lower(hl)) <= 1, "surnames differ by a single character (belongs to DISP_MINOR_TYPO)"),
                 test(~hl.rlike(r"^[\p{L}'\- ]*$"), "replacement surname is not a well-formed name token"),

@@ -42,6 +42,11 @@ def _hit(df: DataFrame) -> DataFrame:
     return df.withColumn("hit_name", joined(F.col("h")))
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """df behind a generator, so that what it computes is made once and not in each expression that names it."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def exact(names: DataFrame) -> DataFrame:
     code, t = "DISP_EXACT_NAME_MATCH", F.col("t")
     df = _names(names).withColumns({"hit_name": F.col("client_name"), "variant_ix": F.lit(0)})
@@ -183,6 +188,15 @@ def is_gender_pair(client: Column, hit: Column) -> Column:
     return F.coalesce((F.size(a) == F.size(b)) & (F.size(at) == 1) & swaps, F.lit(False))
 
 
+#: Folded given name -> the folded names that are its counterpart, or whose counterpart it is.
+PARTNERS: dict[str, list[str]] = {}
+for _a, _b in v.COUNTERPART.items():
+    if _a != v.fold(_a):
+        continue
+    for _x, _y in ((v.fold(_a), v.fold(_b)), (v.fold(_b), v.fold(_a))):
+        PARTNERS[_x] = sorted({*PARTNERS.get(_x, []), _y})
+
+
 def typo(names: DataFrame) -> DataFrame:
     """Every single slip of each token (swap of neighbours, a neighbouring key, an omission; `n` behind short tokens) that stays a typo."""
     code, t, old, at = "DISP_MINOR_TYPO", F.col("t"), F.col("old"), F.col("at")
@@ -200,10 +214,12 @@ def typo(names: DataFrame) -> DataFrame:
     drop = F.array(made(F.concat(head, tail), says("single typographical omission of character '", c, "'")))
     append = F.array(made(F.concat(old, F.lit("n")), F.lit("single typographical character append")))
     edits = F.when(F.length(old) > 3, F.concat(swap, slips, drop)).otherwise(append)
-    df = df.select("client_name", "t", "tok", "at", F.posexplode(edits).alias("edit", "e")).withColumn("variant_ix", (F.col("tok") * 1000 + F.col("at")) * 100 + F.col("edit"))
-    df = _hit(df.withColumn("h", with_at(t, F.col("tok"), F.col("e.new"))))
-    name, hit = F.lower("client_name"), F.lower("hit_name")
-    df = df.where((name != hit) & (F.levenshtein(name, hit, 2) >= 0) & ~is_gender_pair(F.col("client_name"), F.col("hit_name")))
+    # a slip is at most two edits by its making, so only equal spellings and counterparts of the token have to go
+    forms = F.coalesce(lookup(PARTNERS, folded(old)), F.array().cast("array<string>"))
+    df = df.select("client_name", "t", "tok", "at", "old", forms.alias("forms"), edits.alias("edits"))
+    df = df.select("client_name", "t", "tok", "at", "old", "forms", F.posexplode("edits").alias("edit", "e")).withColumn("variant_ix", (F.col("tok") * 1000 + F.col("at")) * 100 + F.col("edit"))
+    df = df.where((F.lower(old) != F.lower("e.new")) & ~F.when(F.size("forms") > 0, F.array_contains("forms", folded(F.col("e.new")))).otherwise(False))
+    df = _once(_hit(df.withColumn("h", with_at(t, F.col("tok"), F.col("e.new")))))
     left = joined(without(t, F.col("tok")))
     return _walked(df, code, F.when(left == "", F.substring("client_name", 1, 3)).otherwise(left), says("The affected token shows ", F.col("e.what"), "; ", _worded("BOUNDARY_MINOR_TYPO", code)), "PRINCIPLE_TP_IDENTITY")
 

@@ -55,8 +55,13 @@ def all_candidates(pool: DataFrame, quotas: dict[str, int], seed: str = SEED, wh
 
 
 def audited(found: DataFrame, code: str) -> DataFrame:
-    """Candidates of a code whose label holds."""
-    return found.where(problem_under(F.col("client_name"), F.col("hit_name"), code).isNull())
+    """Candidates of a code whose label holds.
+
+    The audit names the hit many times; as a generator's output it is made once, where a filter pushed below its
+    projection would make it anew for each of them.
+    """
+    made = found.select(F.inline(F.array(F.struct(*found.columns))))
+    return made.where(problem_under(F.col("client_name"), F.col("hit_name"), code).isNull())
 
 
 def unique_pairs(found: DataFrame, quotas: dict[str, int], seed: str = SEED) -> DataFrame:
