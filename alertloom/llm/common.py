@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 #: Stands for a null id inside the operators: a null id counts as the smallest one.
 NULL_ID = -(2**63)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BLANKS = " \t\n\x0b\x0c\r"
 #: Scratch tables by application, for `clear_scratch`.
 _MADE: dict[str, list[str]] = {}
 

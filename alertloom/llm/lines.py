@@ -5,9 +5,9 @@ document and position, so that one pass over a partition meets the first holder
 result of the operator is not text but a run-length-compressed keep bitmap per document: `keep`, the runs
 (start, len) of lines that stay.
 
-A key that holds more than one part in HEAVY of all lines can't stand in one range: such keys, at most
-HEAVY of them, so a broadcast of a proven size, get their first holder by a grouped minimum with partial
-sums instead, and the rows of a hot key never move to one task.
+A key that holds a quarter of what a range holds on average, or one part in HEAVY of all lines, can't stand in one
+range: such keys, at most the greater of HEAVY and 4 * ranges of them, so a broadcast of a proven size, get their
+first holder by a grouped minimum with partial sums instead, and the rows of a hot key never move to one task.
 
 Defined cases: null text is one empty line; a null doc_id counts as the smallest id; rows that repeat a
 doc_id are one document for the count of holders, and each row is returned; an empty table gives an empty
@@ -40,8 +40,8 @@ def drop_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     rows = docs.select(id_column("doc_id").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_row"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
     keyed = rows.select("_id", "_row", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
     lines = cut(keyed.select("_id", "_row", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2")))
-    total = lines.count()
-    heavy = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("_id").alias("first")).where(F.col("n") * HEAVY > total).select("h1", "h2", "first")
+    total, most = lines.count(), max(HEAVY, 4 * parts(spark))
+    heavy = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("_id").alias("first")).where(F.col("n") * most > total).select("h1", "h2", "first")
     heavy = F.broadcast(cut(heavy))
     cold = lines.join(heavy, ["h1", "h2"], "left_anti").repartitionByRange(parts(spark), "h1", "h2")
     order = Window.partitionBy("h1", "h2").orderBy("_id", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
