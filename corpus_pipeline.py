@@ -22,7 +22,7 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject; its labels are those of sf_dir."""
+    """Documents that the classifier doesn't reject; its labels are those of sf_dir. Null and empty texts are scored like others; without labels all stay."""
     ship(spark)
     model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     inner = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
@@ -32,26 +32,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without lines of 10 characters or more that a smaller id holds. Null texts stay null; rows of one id keep their common lines."""
     ship(spark)
     return lines.dedup_lines(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the smallest id. Null and blank texts have no copies and stay; rows that repeat an id go only by their own texts."""
     ship(spark)
     return similar.keep_one(docs, SHINGLE, *SIMILAR)
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without passages of PASSAGE words or more that a smaller id holds; texts that lose none, null ones among them, are unchanged."""
     ship(spark)
     return substrings.dedup_substrings(docs, PASSAGE)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences; a null text is one piece, the closing id; an empty table gives no rows."""
     ship(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("ngram_jaccard", drop_near_duplicates), ("substring_dedup", dedup_substrings), ("best_fit_packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("ngram_jaccard", drop_near_duplicates),
+    ("substring_dedup", dedup_substrings),
+    ("best_fit_packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
