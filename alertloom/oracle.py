@@ -411,3 +411,32 @@ ORACLE_SQL["integrity_verdict"] = f"""WITH u AS ({ORACLE_SQL['unique_pairs']}),
 SELECT CAST(20 AS BIGINT) AS exact_planned, e AS exact_emitted, CAST(15 AS BIGINT) AS gender_planned, g AS gender_emitted, e = 20 AND g = 15 AS ok FROM x"""
 ORACLE_SQL["closure_report"] = f"""WITH {PAIRS} SELECT disposition_code, count(*) AS n, 'x' AS example FROM p WHERE k % 3 = 0 GROUP BY disposition_code"""
 ORACLE_SQL["model_load"] = f"WITH {FLOORS} SELECT CAST(sum(CASE WHEN code = 'DISP_EXACT_NAME_MATCH' THEN 0 ELSE quota - CAST(floor(0.3 * quota) AS BIGINT) END) AS BIGINT) AS asked, CAST(201 - 4 - floor(0.3 * (100 - 4)) - floor(0.3 * (101 - 4)) AS BIGINT) AS free_running FROM fl"
+
+_QUOTAS = f"""qt AS (SELECT code, quota FROM {apportioned('(SELECT code, 1.0 AS weight FROM ' + values([(c,) for c in v.TRUE_POSITIVE], 'z(code)') + ') y', '260')} a
+  UNION ALL SELECT code, quota FROM {apportioned('(SELECT code, 1.0 AS weight FROM ' + values([(c,) for c in v.FALSE_POSITIVE], 'z(code)') + ') y', '120')} b)"""
+_NAMED = {"DISP_MINOR_TYPO": "mut_typo", "DISP_TOKEN_ORDER_SWAP": "mut_order_swap", "DISP_MIDDLE_NAME_ABBREVIATED": "mut_middle_abbrev", "DISP_MIDDLE_INITIAL_EXPANDED": "mut_middle_expand",
+          "DISP_MIDDLE_NAME_OMITTED": "mut_middle_omit", "DISP_TRANSLITERATION_VARIANT": "mut_translit", "DISP_DIACRITIC_STRIPPED": "mut_diacritic", "DISP_COMPOUND_NAME_RESTRUCTURED": "mut_compound",
+          "DISP_EXACT_NAME_MATCH": "mut_exact", "DISP_SURNAME_CONFLICT": "mut_surname_swap", "DISP_MIDDLE_NAME_CONFLICT": "mut_middle_conflict", "DISP_PHONETIC_SURNAME_DIVERGENCE": "mut_phonetic",
+          "DISP_GIVEN_NAME_GENDER_VARIANT": "mut_gender"}
+
+
+def _from(clients: str, code: str) -> str:
+    """Candidates of a code from the clients that a relation (code, client_name) has for it."""
+    own = MUTATIONS[_NAMED[code]].replace("FROM clients)", f"FROM (SELECT client_name FROM {clients} WHERE code = '{code}') own)", 1)
+    return f"SELECT code, client_name, variant_ix, hit_name, matching_text, thinking FROM ({own}) m"
+
+
+# The clients of the test tables are enough for each quota, so neither made-up names nor a second round are in here.
+ORACLE_SQL["balanced_alerts"] = f"""WITH {CAPS}, {_QUOTAS}, need AS (SELECT code, quota, greatest(64, CAST(ceil(4.0 * quota / greatest(1, least({get(v.VARIANTS, 'code')}, 4))) AS BIGINT)) AS need FROM qt),
+sz AS (SELECT code, count(DISTINCT client_name) AS size FROM caps GROUP BY code),
+th AS (SELECT DISTINCT code, client_name FROM caps JOIN need USING (code) JOIN sz USING (code)
+  WHERE size <= need OR ('0x' || substr(md5(client_name || code || '42'), 1, 5))::BIGINT < floor(1048576 * least(1.0, 1.5 * need / size) + 1)),
+cd AS ({' UNION ALL '.join(_from('th', c) for c in v.CODES)}),
+pd AS (SELECT *, CASE WHEN len(c) = 0 THEN [] ELSE list_filter(range(1, least(len(c), len(h)) + 1), lambda i: lower(c[i]) <> lower(h[i])) END AS d
+  FROM (SELECT *, code AS disposition_code, {toks('client_name')} AS c, {toks('hit_name')} AS h FROM cd) q),
+ok AS (SELECT * FROM pd WHERE {_problem()} IS NULL),
+sc AS (SELECT code, CAST(count(*) AS DOUBLE) / any_value(quota) AS ratio FROM ok JOIN qt USING (code) GROUP BY code),
+rk AS (SELECT ok.*, ratio, quota, md5(code || '|' || client_name || '|' || hit_name || '|42') AS rank FROM ok JOIN sc USING (code) JOIN qt USING (code)),
+un AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(client_name)), lower(trim(hit_name)) ORDER BY ratio, code, rank, variant_ix) AS rn FROM rk),
+sl AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY rank, variant_ix) AS slot FROM un WHERE rn = 1)
+SELECT client_name, hit_name, matching_text, code AS disposition_code, {LABELS}[code] AS disposition_label, thinking, {get(v.DECISIONS, 'code')} AS decision, 'rule_based' AS created_by FROM sl WHERE slot <= quota"""

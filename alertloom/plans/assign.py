@@ -38,7 +38,7 @@ def thinned(pool: DataFrame, code: str, quota: int, size: int, seed: str = SEED)
     rows = pool.where(F.col("code") == code).select("client_name").distinct()
     if size <= need:
         return rows
-    part = F.pmod(F.xxhash64("client_name", F.lit(f"{code}{seed}")), F.lit(1 << 20))
+    part = F.conv(F.substring(F.md5(F.concat("client_name", F.lit(f"{code}{seed}"))), 1, 5), 16, 10).cast("long")  # 20 bits
     return rows.where(part < int((1 << 20) * min(1.0, 1.5 * need / size) + 1))
 
 
