@@ -10,10 +10,14 @@ from ..functions.strings import closure, differing, joined, label_of, last, look
 from .mutate import is_gender_pair
 
 
-def problem_under(client: Column, hit: Column, code: str) -> Column:
-    """What is wrong with a pair under one code, or null; only that code's rule is in the plan."""
-    c, h = tokens(client), tokens(hit)
-    even, diffs, n = F.size(c) == F.size(h), differing(c, h), F.size(c)
+def problem_under(client: Column, hit: Column, code: str, c: Column | None = None, h: Column | None = None, diffs: Column | None = None) -> Column:
+    """What is wrong with a pair under one code, or null; only that code's rule is in the plan.
+
+    c, h and diffs: the tokens of both names and where they differ, if a caller has them.
+    """
+    c, h = tokens(client) if c is None else c, tokens(hit) if h is None else h
+    diffs = differing(c, h) if diffs is None else diffs
+    even, n = F.size(c) == F.size(h), F.size(c)
     one = even & (F.size(diffs) == 1)
     at = F.get(diffs, F.lit(0))
     only = lambda k: one & (at == k)
@@ -37,10 +41,10 @@ def problem_under(client: Column, hit: Column, code: str) -> Column:
     test = lambda problem, text: F.when(F.coalesce(problem, F.lit(True)), F.lit(text))  # noqa: E731  an open question counts as a problem
     rules = {
         "DISP_EXACT_NAME_MATCH": lambda: [test(~same(), "not an identical name pair")],
-        "DISP_GIVEN_NAME_GENDER_VARIANT": lambda: [test(~is_gender_pair(client, hit), "tokens do not differ by a single curated gendered given name")],
+        "DISP_GIVEN_NAME_GENDER_VARIANT": lambda: [test(~is_gender_pair(client, hit, c, h, diffs), "tokens do not differ by a single curated gendered given name")],
         "DISP_MINOR_TYPO": lambda: [
             test(same(), "pair is identical"),
-            test(is_gender_pair(client, hit), "pair is a curated cross-gender variant (belongs to DISP_GIVEN_NAME_GENDER_VARIANT)"),
+            test(is_gender_pair(client, hit, c, h, diffs), "pair is a curated cross-gender variant (belongs to DISP_GIVEN_NAME_GENDER_VARIANT)"),
             test(F.levenshtein(F.lower(client), F.lower(hit)) > 2, "edit distance exceeds the documented <= 2 typo contract"),
         ],
         "DISP_TOKEN_ORDER_SWAP": lambda: [test(lower_all(c) != lower_all(h), "token multisets differ (not a pure reordering)"), test(same(), "no reordering occurred")],

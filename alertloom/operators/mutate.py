@@ -179,10 +179,10 @@ def gender(names: DataFrame) -> DataFrame:
     return _emit(df, code, F.when(rest == "", F.col("hit_name")).otherwise(rest), given, mid, walk_note(last(t), last(F.col("h"))), _worded("BOUNDARY_GENDER_VARIANT", code), "PRINCIPLE_GENDER_MISMATCH")
 
 
-def is_gender_pair(client: Column, hit: Column) -> Column:
-    """Equal token counts, one differing token, and that one the curated counterpart of the other."""
-    a, b = tokens(client), tokens(hit)
-    at = differing(a, b)
+def is_gender_pair(client: Column, hit: Column, a: Column | None = None, b: Column | None = None, at: Column | None = None) -> Column:
+    """Equal token counts, one differing token, and that one the curated counterpart of the other (a, b, at: tokens of both and where they differ, if known)."""
+    a, b = tokens(client) if a is None else a, tokens(hit) if b is None else b
+    at = differing(a, b) if at is None else at
     x, y = folded(F.get(a, F.get(at, F.lit(0)))), folded(F.get(b, F.get(at, F.lit(0))))
     swaps = F.coalesce(folded(lookup(v.COUNTERPART, x)) == y, F.lit(False)) | F.coalesce(folded(lookup(v.COUNTERPART, y)) == x, F.lit(False))
     return F.coalesce((F.size(a) == F.size(b)) & (F.size(at) == 1) & swaps, F.lit(False))

@@ -434,7 +434,9 @@ th AS (SELECT DISTINCT code, client_name FROM caps JOIN need USING (code) JOIN s
 cd AS ({' UNION ALL '.join(_from('th', c) for c in v.CODES)}),
 pd AS (SELECT *, CASE WHEN len(c) = 0 THEN [] ELSE list_filter(range(1, least(len(c), len(h)) + 1), lambda i: lower(c[i]) <> lower(h[i])) END AS d
   FROM (SELECT *, code AS disposition_code, {toks('client_name')} AS c, {toks('hit_name')} AS h FROM cd) q),
-ok AS (SELECT * FROM pd WHERE {_problem()} IS NULL),
+dr AS (SELECT pd.* FROM pd JOIN need USING (code) JOIN sz USING (code) WHERE ('0x' || substr(md5(code || '|' || client_name || '|' || hit_name || '|42'), 1, 5))::BIGINT
+  < floor(1048576 * least(1.0, 1.5 * greatest(2 * quota, 2000) / greatest(1.0, least(size, 1.5 * need) * {get(v.VARIANTS, 'code')})) + 1)),
+ok AS (SELECT * FROM dr WHERE {_problem()} IS NULL),
 sc AS (SELECT code, CAST(count(*) AS DOUBLE) / any_value(quota) AS ratio FROM ok JOIN qt USING (code) GROUP BY code),
 rk AS (SELECT ok.*, ratio, quota, md5(code || '|' || client_name || '|' || hit_name || '|42') AS rank FROM ok JOIN sc USING (code) JOIN qt USING (code)),
 un AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(client_name)), lower(trim(hit_name)) ORDER BY ratio, code, rank, variant_ix) AS rn FROM rk),

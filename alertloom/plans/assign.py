@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab as v
-from ..functions.strings import ABSENT, SEED, compose, decision_of, joined, label_of, last, lookup, middle, pick, pick_from, tokens, trimmed_lower, walk_middle, walk_note
+from ..functions.strings import ABSENT, SEED, compose, decision_of, differing, joined, label_of, last, lookup, middle, pick, pick_from, tokens, trimmed_lower, walk_middle, walk_note
 from ..operators.audit import problem_under
 from ..operators.capability import capable, gender_clients, gender_of
 from ..operators.mutate import candidates
 from ..sources.scratch import cut
 
-#: Candidates drawn for each record of a quota before pairs are made unique.
-SPARE = 4
+#: Candidates that the clients taken could yield for each record of a quota, how many are drawn, and how many in any case.
+SPARE, DRAWN, FEW = 4, 2, 2000
 #: Tries of the free-running mode for each record asked for, before it gives up.
 TRIES = 40
 
@@ -32,24 +32,45 @@ def pair_rank(seed: str = SEED) -> Column:
     return F.md5(F.concat_ws("|", "code", "client_name", "hit_name", F.lit(seed)))
 
 
+def _below(hexes: Column, share: float) -> Column:
+    """Whether the number that the first five hex digits give, of 20 bits, is below a share of all."""
+    return F.conv(F.substring(hexes, 1, 5), 16, 10).cast("long") < int((1 << 20) * min(1.0, share) + 1)
+
+
+def _need(code: str, quota: int) -> int:
+    return max(64, -(-SPARE * quota // max(1, min(v.VARIANTS[code], 4))))
+
+
 def thinned(pool: DataFrame, code: str, quota: int, size: int, seed: str = SEED) -> DataFrame:
-    """Clients of a code's pool, by hash as many as SPARE * quota need, so that variants of the others are never made."""
-    need = max(64, -(-SPARE * quota // max(1, min(v.VARIANTS[code], 4))))
+    """Clients of a code's pool, by hash as many as SPARE * quota need, so that variants of the others are never made.
+
+    What a client yields is much more than its name, so many are dealt anew to all tasks.
+    """
+    need = _need(code, quota)
     rows = pool.where(F.col("code") == code).select("client_name").distinct()
-    if size <= need:
-        return rows
-    part = F.conv(F.substring(F.md5(F.concat("client_name", F.lit(f"{code}{seed}"))), 1, 5), 16, 10).cast("long")  # 20 bits
-    return rows.where(part < int((1 << 20) * min(1.0, 1.5 * need / size) + 1))
+    if size > need:
+        rows = rows.where(_below(F.md5(F.concat("client_name", F.lit(f"{code}{seed}"))), 1.5 * need / size))
+    if min(size, need) * v.VARIANTS[code] > FEW:
+        rows = rows.repartition(pool.sparkSession.sparkContext.defaultParallelism, "client_name")
+    return rows
+
+
+def drawn(found: DataFrame, code: str, quota: int, size: int, seed: str = SEED) -> DataFrame:
+    """Candidates of the least ranks, about DRAWN * quota of them, FEW at least: the others would lose in the end, so their traces are never written."""
+    clients = min(size, 1.5 * _need(code, quota))
+    share = 1.5 * max(DRAWN * quota, FEW) / max(1.0, clients * v.VARIANTS[code])
+    return found if size == 0 or share >= 1 else found.where(_below(pair_rank(seed), share))
 
 
 def all_candidates(pool: DataFrame, quotas: dict[str, int], seed: str = SEED, whole_pools: Collection[str] = ()) -> DataFrame:
-    """Candidates of every planned code whose label holds, by the independent audit; of whole_pools from all clients."""
+    """Candidates of every planned code whose label holds, by the independent audit; of whole_pools all of all clients."""
     sizes = {r["code"]: r["n"] for r in pool.groupBy("code").agg(F.countDistinct("client_name").alias("n")).collect()}  # a row per code
     whole = None
     for code in v.CODES:
         if quotas.get(code, 0) > 0:
             size = 0 if code in whole_pools else sizes.get(code, 0)
-            one = audited(candidates(thinned(pool, code, quotas[code], size, seed), code), code)
+            found = candidates(thinned(pool, code, quotas[code], size, seed), code)
+            one = audited(drawn(found, code, quotas[code], size, seed), code)
             whole = one if whole is None else whole.unionAll(one)
     return whole
 
@@ -57,11 +78,14 @@ def all_candidates(pool: DataFrame, quotas: dict[str, int], seed: str = SEED, wh
 def audited(found: DataFrame, code: str) -> DataFrame:
     """Candidates of a code whose label holds.
 
-    The audit names the hit many times; as a generator's output it is made once, where a filter pushed below its
-    projection would make it anew for each of them.
+    The audit names the hit, its tokens and the differing ones many times; as a generator's output each is made once,
+    where a filter pushed below their projections would make them anew each time.
     """
-    made = found.select(F.inline(F.array(F.struct(*found.columns))))
-    return made.where(problem_under(F.col("client_name"), F.col("hit_name"), code).isNull())
+    columns = found.columns
+    made = found.select(F.inline(F.array(F.struct(*columns))))
+    made = made.select(F.inline(F.array(F.struct(*columns, tokens(F.col("client_name")).alias("_c"), tokens(F.col("hit_name")).alias("_h")))))
+    made = made.select(F.inline(F.array(F.struct(*columns, "_c", "_h", differing(F.col("_c"), F.col("_h")).alias("_d")))))
+    return made.where(problem_under(F.col("client_name"), F.col("hit_name"), code, F.col("_c"), F.col("_h"), F.col("_d")).isNull()).select(*columns)
 
 
 def unique_pairs(found: DataFrame, quotas: dict[str, int], seed: str = SEED) -> DataFrame:
