@@ -442,3 +442,14 @@ rk AS (SELECT ok.*, ratio, quota, md5(code || '|' || client_name || '|' || hit_n
 un AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(client_name)), lower(trim(hit_name)) ORDER BY ratio, code, rank, variant_ix) AS rn FROM rk),
 sl AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY rank, variant_ix) AS slot FROM un WHERE rn = 1)
 SELECT client_name, hit_name, matching_text, code AS disposition_code, {LABELS}[code] AS disposition_label, thinking, {get(v.DECISIONS, 'code')} AS decision, 'rule_based' AS created_by FROM sl WHERE slot <= quota"""
+ORACLE_SQL["column_choice"] = f"""WITH c(k, cols, wanted) AS (VALUES (0, ['id', ' Client_Name ', 'name'], NULL), (1, ['id', 'x'], 'x'), (2, ['id', 'x'], NULL), (3, ['a', 'FULL_NAME'], 'b'), (4, ['HitName', 'Individual_Name'], 'Individual_Name'), (5, ['name'], 'Name'))
+SELECT CAST(k AS BIGINT) AS k, CASE WHEN list_contains(cols, wanted) THEN wanted ELSE coalesce(list_filter(cols, lambda x: list_contains({arr(v.NAME_COLUMNS)}, lower(trim(x))))[1], cols[1]) END AS chosen FROM c"""
+ORACLE_SQL["model_choice"] = """WITH c(k, wanted, models) AS (VALUES (0, 'Gemma4:31b Cloud', ['x', 'gemma4:31b-cloud']), (1, 'gemma4:9b', ['llama:1b', 'gemma4:31b']), (2, 'phi', ['tiny-phi:2', 'x']), (3, 'y', ['x']), (4, 'llama:1b', ['llama:2b', 'llama:1b'])),
+n AS (SELECT *, replace(lower(trim(wanted)), ' ', '-') AS t FROM c)
+SELECT CAST(k AS BIGINT) AS k, coalesce(list_filter(models, lambda m: replace(lower(trim(m)), ' ', '-') = t OR (contains(m, ':') AND contains(t, ':') AND string_split(m, ':')[1] = string_split(t, ':')[1]))[1],
+  list_filter(models, lambda m: contains(lower(m), t))[1]) AS chosen FROM n"""
+ORACLE_SQL["parsed_weights"] = "SELECT regexp_extract(x, '\"(\\w+)\"', 1) AS code, CAST(trim(regexp_extract(x, ':(.*)', 1)) AS DOUBLE) AS weight FROM (SELECT unnest(string_split(trim('{\"DISP_MINOR_TYPO\": 3, \"DISP_SURNAME_CONFLICT\": 0.5}', '{}'), ',')) AS x) q"
+ORACLE_SQL["parsed_lists"] = """WITH c(k, x) AS (VALUES (0, ' disp_minor_typo, DISP_EXACT_NAME_MATCH ,,'), (1, ''), (2, 'cs_CZ'), (3, ' fr_FR ,de_DE')),
+p AS (SELECT k, x, list_filter(list_transform(string_split(x, ','), lambda y: trim(y)), lambda y: y <> '') AS xs FROM c)
+SELECT CAST(k AS BIGINT) AS k, array_to_string(list_sort(list_transform(xs, lambda y: upper(y))), ',') AS excludes, CASE WHEN x <> '' THEN array_to_string(xs, ',') END AS locales FROM p"""
+ORACLE_SQL["unknown_codes"] = f"SELECT code, NOT list_contains({arr(v.CODES)}, code) AS error FROM (SELECT unnest({arr([*v.CODES, 'DISP_OTHER', '', 'disp_minor_typo'])}) AS code) q"

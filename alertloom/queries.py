@@ -13,6 +13,7 @@ from .functions import vocab as v
 from .operators import audit, capability, mutate, review
 from .oracle import GIVEN, MIDDLE, ORACLE_SQL, SURNAME
 from .plans import assign, pipeline, quotas
+from .sources import model
 from .sources import names as src
 from .sources.scratch import cut, scratch_dir
 
@@ -189,6 +190,46 @@ def option_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotas.resolve_plan(spark, o, quotas.resolve_counts(o)).select("code", "family", "quota")
 
 
+COLUMN_CASES = [
+    (["id", " Client_Name ", "name"], None), (["id", "x"], "x"), (["id", "x"], None), (["a", "FULL_NAME"], "b"), (["HitName", "Individual_Name"], "Individual_Name"), (["name"], "Name"),
+]
+MODEL_CASES = [
+    ("Gemma4:31b Cloud", ["x", "gemma4:31b-cloud"]), ("gemma4:9b", ["llama:1b", "gemma4:31b"]), ("phi", ["tiny-phi:2", "x"]), ("y", ["x"]), ("llama:1b", ["llama:2b", "llama:1b"]),
+]
+WEIGHTS = '{"DISP_MINOR_TYPO": 3, "DISP_SURNAME_CONFLICT": 0.5}'
+LISTS = [" disp_minor_typo, DISP_EXACT_NAME_MATCH ,,", "", "cs_CZ", " fr_FR ,de_DE"]
+
+
+def _or_null(make: Callable[[], str]) -> str | None:
+    try:
+        return make()
+    except ValueError:
+        return None
+
+
+def column_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(k, src.name_column(columns, wanted)) for k, (columns, wanted) in enumerate(COLUMN_CASES)], "k long, chosen string")
+
+
+def model_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(k, _or_null(lambda w=wanted, m=models: model.choose_model(w, m))) for k, (wanted, models) in enumerate(MODEL_CASES)], "k long, chosen string")
+
+
+def parsed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame(sorted(quotas.parse_weights(WEIGHTS).items()), "code string, weight double")
+
+
+def parsed_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(k, ",".join(sorted(quotas.parse_excludes(x))), ",".join(quotas.parse_locales(x)) if x else None) for k, x in enumerate(LISTS)]
+    return spark.createDataFrame(rows, "k long, excludes string, locales string")
+
+
+def unknown_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether asking for a code's capability is an error."""
+    rows = [(c, _or_null(lambda c=c: str(capability.capable(F.col("client_name"), c))) is None) for c in [*v.CODES, "DISP_OTHER", "", "disp_minor_typo"]]
+    return spark.createDataFrame(rows, "code string, error boolean")
+
+
 def merge_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = pairs(spark, sf_dir).select("client_name", "hit_name", "disposition_code")
     return audit.merge_first(p.where("disposition_code like 'DISP_M%'"), p).groupBy("disposition_code").agg(F.count("*").alias("n"))
@@ -274,6 +315,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_names": csv_names,
     "appended_alerts": streamed_names,
     "option_counts": option_counts,
+    "column_choice": column_choice,
+    "model_choice": model_choice,
+    "parsed_weights": parsed_weights,
+    "parsed_lists": parsed_lists,
+    "unknown_codes": unknown_codes,
     "option_plan": option_plan,
     "audit_pairs": _on(lambda d: audit.audit_pairs(d).select("k", "disposition_code", "problem"), pairs),
     "audit_summary": _on(lambda d: audit.label_report(d).select("disposition_code", "n"), pairs),
