@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, cut, id_back, id_column, id_filter, parts, table
+from .common import cut, id_back, id_column, id_filter, parts, table
 
 FOUND = "_id long, n_chars long, edited_sha256 string, h string, d string, eh string, ed string, near_edited double, near_next double"
 

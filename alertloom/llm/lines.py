@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, ascii_lower, cut, id_column, parts, table
+from .common import ascii_lower, cut, id_column, parts, table
 
 MIN_CHARS = 10
 HEAVY = 1024

@@ -17,8 +17,10 @@ Adjoining starts make the maximal repeats (`maximal_repeats`).
 
 What several documents of a slice of text hold is summed up before it moves: only the least holder of a window
 goes on, the others are settled where they are. There and below lengthened prefixes windows are told apart by
-96 and 128 bits of hash: among 10**13 windows the odds of one false pair are 6e-4 within all slices of 10**6
-words (10**7 slices of 5e11 pairs each over 2**96 is 6e-11 a slice), and under 1e-12 in all.
+96 and 128 bits made of 64-bit hashes of their words. A slice has some 2e5 windows, so two different ones of a slice
+are taken as equal with odds of 2e10 / 2**96 = 3e-19, 2e-11 over the 6e7 slices of 10**13 words; below lengthened
+prefixes 10**13 windows meet falsely with odds of 5e25 / 2**128 = 1.5e-13. Two words of a slice share their hash
+with odds of 1e-9, which counts only where the windows around them are equal.
 
 Defined cases: null text has no words; a null doc_id counts as the smallest (as would the id -2**63, which
 comes back null); rows that repeat a doc_id are no repeats of each other, but each row loses what a smaller id
