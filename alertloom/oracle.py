@@ -453,3 +453,69 @@ ORACLE_SQL["parsed_lists"] = """WITH c(k, x) AS (VALUES (0, ' disp_minor_typo, D
 p AS (SELECT k, x, list_filter(list_transform(string_split(x, ','), lambda y: trim(y)), lambda y: y <> '') AS xs FROM c)
 SELECT CAST(k AS BIGINT) AS k, array_to_string(list_sort(list_transform(xs, lambda y: upper(y))), ',') AS excludes, CASE WHEN x <> '' THEN array_to_string(xs, ',') END AS locales FROM p"""
 ORACLE_SQL["unknown_codes"] = f"SELECT code, NOT list_contains({arr(v.CODES)}, code) AS error FROM (SELECT unnest({arr([*v.CODES, 'DISP_OTHER', '', 'disp_minor_typo'])}) AS code) q"
+
+
+def _of(relation: str, code: str) -> str:
+    """Candidates of a code from the client names of a relation."""
+    return _from(f"(SELECT '{code}' AS code, client_name FROM {relation}) rel", code)
+
+
+def _one_each(frame: str, code: str) -> str:
+    """For each (client_name, attempt) of a relation one candidate of the code, by hash."""
+    return f"""SELECT code, client_name, attempt, hit_name, matching_text, thinking FROM (
+      SELECT m.*, f.attempt, row_number() OVER (PARTITION BY m.client_name, f.attempt ORDER BY md5(m.hit_name || '|' || f.attempt || '|42'), m.variant_ix) AS turn
+      FROM {frame} f JOIN ({_of(f'(SELECT DISTINCT client_name FROM {frame})', code)}) m ON m.client_name = f.client_name) q WHERE turn = 1"""
+
+
+def _free(name: str, decision: str, want: int) -> str:
+    """CTEs of one decision's free-running pairs: one operator by hash for each client and attempt, fallbacks, a second mutation from attempt 3 on."""
+    fp = decision == v.DISQUALIFY
+    last = "DISP_SURNAME_CONFLICT" if fp else "DISP_MINOR_TYPO"
+    menu = ["DISP_SURNAME_CONFLICT", "DISP_MIDDLE_NAME_CONFLICT", "DISP_PHONETIC_SURNAME_DIVERGENCE"] if fp else ["DISP_MINOR_TYPO", "DISP_TOKEN_ORDER_SWAP", "MIDDLE", "DISP_TRANSLITERATION_VARIANT", "DISP_DIACRITIC_STRIPPED", "DISP_COMPOUND_NAME_RESTRUCTURED", "DISP_MIDDLE_NAME_OMITTED"]
+    fallback = {} if fp else {"DISP_TRANSLITERATION_VARIANT": "DISP_MINOR_TYPO", "DISP_DIACRITIC_STRIPPED": "DISP_MINOR_TYPO", "DISP_COMPOUND_NAME_RESTRUCTURED": "DISP_TOKEN_ORDER_SWAP"}
+    key = "client_name || '|' || attempt"
+    out = [f"{name}t AS (SELECT client_name, attempt, len({toks('client_name')}) AS size, {arr(menu)}[{pick(key, f'menu/{decision}', len(menu))} + 1] AS wanted FROM clients, range(4) a(attempt))"]
+    parts = []
+    for k, code in enumerate(menu):
+        if code == "MIDDLE":
+            three, two = (f"(SELECT client_name, attempt FROM {name}t WHERE wanted = 'MIDDLE' AND size {x})" for x in (">= 3", "= 2"))
+            parts += [_one_each(three, "DISP_MIDDLE_NAME_ABBREVIATED"), _one_each(three, "DISP_MIDDLE_INITIAL_EXPANDED"), _one_each(two, "DISP_MIDDLE_NAME_OMITTED")]
+            continue
+        out.append(f"{name}m{k} AS ({_one_each(f'''(SELECT client_name, attempt FROM {name}t WHERE wanted = '{code}')''', code)})")
+        parts.append(f"SELECT * FROM {name}m{k}")
+        if code in fallback:
+            out.append(f"{name}r{k} AS (SELECT client_name, attempt FROM {name}t ANTI JOIN {name}m{k} USING (client_name, attempt) WHERE wanted = '{code}')")
+            parts.append(_one_each(f"{name}r{k}", fallback[code]))
+    boundary, principle = ("BOUNDARY_SURNAME_CONFLICT", "PRINCIPLE_FP_DISTINCT") if fp else ("BOUNDARY_MINOR_TYPO", "PRINCIPLE_TP_IDENTITY")
+    said = lambda kind: f"{arr(v.WORDING[kind])}[{pick(key, kind, len(v.WORDING[kind]))} + 1]"
+    uneven = f"CASE WHEN least(len(c), len(h)) > 2 THEN ({note(join('c[2:-2]'), join('h[2:-2]'))}) ELSE 'absent from one or both records' END"
+    mid = f"CASE WHEN len(c) = len(h) THEN ({mid_note('c', 'h')}) ELSE {uneven} END"
+    thinking = f"""'Client ''' || client_name || ''' vs hit ''' || hit_name || '''. Given: ' || ({note('c[1]', 'h[1]')}) || '. Middle: ' || ({mid}) || '. Surname: ' || ({note('c[-1]', 'h[-1]')})
+      || '. ' || {said(boundary)} || ' ' || {said(principle)} || ' Therefore: {last} -> {decision}.'"""
+    cols = "code, client_name, attempt, hit_name, matching_text, thinking"
+    out += [
+        f"{name}f AS ({' UNION ALL '.join(f'SELECT {cols} FROM ({p}) p' for p in parts)})",
+        f"{name}b AS (SELECT DISTINCT hit_name AS client_name, attempt FROM {name}f WHERE attempt >= 3)",
+        f"{name}g AS ({_one_each(f'{name}b', last)})",
+        f"{name}a AS (SELECT *, {toks('client_name')} AS c, {toks('hit_name')} AS h FROM (SELECT f.client_name, f.attempt, g.hit_name, g.matching_text FROM {name}f f JOIN {name}g g ON g.client_name = f.hit_name AND g.attempt = f.attempt WHERE f.attempt >= 3) q)",
+        f"{name}w AS (SELECT {cols} FROM {name}f WHERE attempt < 3 UNION ALL SELECT '{last}' AS code, client_name, attempt, hit_name, matching_text, {thinking} AS thinking FROM {name}a)",
+        f"{name}i AS ({_one_each(f'(SELECT client_name, attempt FROM {name}w WHERE lower(trim(client_name)) = lower(trim(hit_name)))', last)})",
+        f"{name} AS (SELECT {cols}, {want} AS want FROM (SELECT {cols} FROM {name}w WHERE lower(trim(client_name)) <> lower(trim(hit_name)) UNION ALL SELECT {cols} FROM {name}i) z)",
+    ]
+    return ",\n".join(out)
+
+
+_GENDER = get(v.GENDER, fold(f"({toks('client_name')})[1]"))
+# The clients of the test tables are enough for one round of four attempts and for real cross-gender clients of either kind.
+ORACLE_SQL["legacy_alerts"] = f"""WITH {CAPS}, {_free('tp', v.ESCALATE, 1)}, {_free('fp', v.DISQUALIFY, 2)},
+re AS (SELECT client_name FROM clients ORDER BY md5(client_name || 'exact42'), client_name LIMIT 10),
+gc AS (SELECT client_name, gender, row_number() OVER (PARTITION BY gender ORDER BY md5(client_name || '42'), client_name) AS turn FROM (SELECT client_name, {_GENDER} AS gender FROM (SELECT client_name FROM caps WHERE code = 'DISP_GIVEN_NAME_GENDER_VARIANT') k) q WHERE gender IS NOT NULL),
+gs AS (SELECT client_name, turn FROM gc WHERE turn <= 4 ORDER BY turn, gender DESC LIMIT 7),
+al AS (SELECT code, client_name, 0 AS attempt, hit_name, matching_text, thinking, 0 AS want FROM ({_of('re', 'DISP_EXACT_NAME_MATCH')}) x
+  UNION ALL SELECT code, m.client_name, turn, hit_name, matching_text, thinking, -1 FROM ({_of('gs', 'DISP_GIVEN_NAME_GENDER_VARIANT')}) m JOIN gs ON gs.client_name = m.client_name
+  UNION ALL SELECT * FROM tp UNION ALL SELECT * FROM fp),
+rk AS (SELECT *, md5(code || '|' || client_name || '|' || hit_name || '|42') AS rank FROM al),
+un AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(client_name)), lower(trim(hit_name)) ORDER BY want, attempt, rank) AS rn FROM rk),
+sl AS (SELECT *, row_number() OVER (PARTITION BY want ORDER BY attempt, rank) AS slot FROM un WHERE rn = 1)
+SELECT client_name, hit_name, matching_text, code AS disposition_code, {LABELS}[code] AS disposition_label, thinking, {get(v.DECISIONS, 'code')} AS decision, 'rule_based' AS created_by
+FROM sl WHERE slot <= CASE want WHEN -1 THEN 2 WHEN 0 THEN 10 WHEN 1 THEN 50 ELSE 38 END"""
