@@ -133,6 +133,7 @@ def raw(dtype: str):
 
 def trim() -> None:
     """Give memory that a worker has freed back to the system; idle workers stay beside those of later stages."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not glibc
         ctypes.CDLL(None).malloc_trim(0)
 

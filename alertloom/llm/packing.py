@@ -98,6 +98,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
                 out += [(i, k, lo, hi - lo, zlib.crc32(ids[4 * lo : 4 * hi])) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False))]
             cols = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        text_ids.cache_clear()  # made again in half a second; idle workers would keep some 45 MB each beside other stages
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), PIECES)
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, dealt, drop_scratch, flat, id_back, id_column, id_filter, packed_batch, parts, raw, runs_of, scratch_path, table, trimmed
+from .common import components, cut, dealt, drop_scratch, flat, id_back, id_column, id_filter, packed_batch, parts, raw, runs_of, scratch_path, table, trim, trimmed
 from .words import Slice, pack_longs, slices, unpack_longs
 
 SLOT_BITS, CHUNKS = 22, 64
@@ -45,6 +45,8 @@ SLOT_BITS, CHUNKS = 22, 64
 DOC_BITS, COUNT_BITS = 20, 32
 #: A cell of the join holds so many documents and shingles at most; beyond, it is dealt out.
 CELL_DOCS, CELL_SHINGLES = 2048, 1 << 22
+#: Bytes of text of a cell behind which a worker gives its memory back.
+TRIMMED = 1 << 20
 #: Shingles of a trie's node that a walk looks up before it weighs the bound again (then four times as many).
 STRETCH = 64
 #: A shingle is hot from so many documents on, if that is HOT_TIMES the mean of the sketch at least.
@@ -286,7 +288,7 @@ def _join_cell(width: int, num: int, den: int, sketch):
                 placed[i] = c, p or placed.get(i, (c, False))[1]
         keys = sorted(sets)
         label = [placed[i][0] for i, _ in keys]
-        links = []
+        links, trie = [], None
         if len(set(label)) > 1:
             held: dict[int, list[int]] = {}
             for k, c in enumerate(label):
@@ -304,6 +306,9 @@ def _join_cell(width: int, num: int, den: int, sketch):
                         for y in held[small]:
                             label[y] = large
                         held[large] += held.pop(small)
+        if t.nbytes > TRIMMED:
+            del sets, keys, trie, s, doc, h, m
+            trim()
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return run

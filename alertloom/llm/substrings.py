@@ -142,7 +142,10 @@ def _shared(t: pa.Table, hot_load: int) -> pa.Table:
         total = int(load[shared].sum())
         heavy = shared & (load > hot_load)
         hot, hot_n = anchor[head][heavy], load[heavy]
+        del more, order, size, held
     a, i = np.concatenate([x.astype(np.uint64) for x in done_anchor]), np.concatenate(done_id)
+    anchors, ids, many, loads, done_anchor, done_id = [], [], [], [], [], []
+    trim()
     column = lambda x, there: pa.array(x.astype(np.int64), mask=~there)
     n, k = len(a), len(hot)
     place = np.arange(n + k + 1)
@@ -401,15 +404,14 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     @F.pandas_udf("string")
     def rest(text: pd.Series, gone: pd.Series) -> pd.Series:
-        return pd.Series([b" ".join(kept_words((t or "").encode("utf-8", "surrogatepass").split(), list(g), window)).decode() for t, g in zip(text, gone, strict=True)])
+        return pd.Series([None if g is None else b" ".join(kept_words((t or "").encode("utf-8", "surrogatepass").split(), list(g), window)).decode() for t, g in zip(text, gone, strict=True)], dtype=object)
 
     inner = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # own names, so that none of docs can clash
     at = {c: F.col(f"c{k}") for k, c in enumerate(docs.columns)}
     rows, gone = repeat_runs(inner.withColumns({"doc_id": at["doc_id"], "text": at["text"]}), window)
     rows = rows.join(gone, "_id", "left").withColumn("gone", _own())
-    same = rows.where("gone is null").withColumn("left", F.col("text"))
-    less = rows.where("gone is not null").withColumn("left", rest("text", "gone"))
-    got = same.unionByName(less)
+    less = rest(F.when(F.col("gone").isNotNull(), F.col("text")), "gone")  # texts that lose nothing stay where they are
+    got = rows.withColumn("left", F.coalesce(less, "text"))
     new = {"text": F.col("left"), "n_chars": F.when(F.col("gone").isNull(), at.get("n_chars", F.lit(None))).otherwise(F.length("left").cast("long"))}
     return got.select(*[new.get(c, at[c]).alias(c) for c in docs.columns])
 

@@ -6,6 +6,7 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -516,6 +517,7 @@ def test_subtree_orders_suffixes():
 def test_substring_stage_keeps_columns(docs, empty):
     out = substrings.dedup_substrings(docs, 13)
     assert out.columns == docs.columns and out.count() == len(DOCS)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1  # one walk over the texts and their parts, not one for rows that change and one for others
     got = {r.doc_id: r for r in out.collect()}
     assert got[2].text == B and got[3].text == A + " tail" and got[5].text == "" and got[5].n_chars == 0 and got[8].text is None
     assert substrings.dedup_substrings(empty, 50).count() == substrings.substring_digests(empty).count() == 0
@@ -719,6 +721,17 @@ def test_grown_rules_spare_what_cannot_be_one():
 # pipeline
 
 
+def test_pipeline_holds_little_between_stages(spark):
+    """Batches of whole texts are small, and a worker's tokenizer goes with its task."""
+    cp = pytest.importorskip("corpus_pipeline")
+    cp.begin(spark)
+    assert 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    d = spark.createDataFrame([(1, "some text")], "doc_id long, text string").coalesce(1)
+    assert packing.token_pieces(d, BYTES).count() == 1
+    left = d.mapInArrow(lambda batches: (b.select(["doc_id"]).set_column(0, "n", pa.array([packing.text_ids.cache_info().currsize] * b.num_rows, pa.int64())) for b in batches), "n long").collect()
+    assert [r.n for r in left] == [0]
+
+
 def test_pipeline_stages(spark, tmp_path):
     cp = pytest.importorskip("corpus_pipeline")
     rng = np.random.default_rng(11)
