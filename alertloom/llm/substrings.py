@@ -31,7 +31,9 @@ kept by `dedup_substrings`.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -235,39 +237,57 @@ def _settled(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, shares: int)
     return [(p, SETTLED, *r, b"", b"", b"") for p, *r in rows]
 
 
+def _numbered(texts: Iterable[list[bytes]]) -> np.ndarray:
+    """The words of all texts as numbers in sorted order; each word is held once, beside those of one text."""
+    seen: dict[bytes, int] = defaultdict(count().__next__)
+    met = [np.fromiter(map(seen.__getitem__, words), np.int32, len(words)) for words in texts]
+    place = np.empty(len(seen), np.int32)
+    place[np.fromiter(map(seen.__getitem__, sorted(seen)), np.int64, len(seen))] = np.arange(len(seen))
+    return place[np.concatenate(met)] if met else np.empty(0, np.int32)
+
+
+def _dense_rank(key: np.ndarray) -> np.ndarray:
+    """The place of each entry among the distinct ones, as np.unique has it, with fewer copies."""
+    order = np.argsort(key)
+    new = np.empty(len(key), np.int32)
+    new[:1] = 0
+    new[1:] = np.diff(key[order]) != 0
+    out = np.empty(len(key), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32)
+    return out
+
+
 class Subtree:
     """The suffixes of some stretches of words, sorted, with the common length of neighbours."""
 
-    def __init__(self, words: list[bytes], lengths: np.ndarray, depth: int):
-        """lengths: words of each stretch; suffixes are told apart for `depth` words at least, and end with their stretch."""
-        number = {w: k for k, w in enumerate(sorted(set(words)))}
-        rank = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
-        self.left = (np.repeat(np.cumsum(lengths), lengths) - np.arange(len(words))).astype(np.int32)  # words up to the stretch's end
+    def __init__(self, words: list[bytes] | np.ndarray, lengths: np.ndarray, depth: int):
+        """words: themselves or `_numbered`; lengths: words of each stretch; suffixes are told apart for `depth` words at least, and end with their stretch."""
+        rank = words if isinstance(words, np.ndarray) else _numbered([words])
+        self.left = np.repeat(np.cumsum(lengths).astype(np.int32), lengths) - np.arange(len(rank), dtype=np.int32)  # words up to the stretch's end
         self.levels = [rank]
         width = 1
         while width < depth:
-            there = self.left > width
-            behind = np.zeros(len(rank), np.int64)
-            behind[there] = rank[np.flatnonzero(there) + width] + 1
-            _, rank = np.unique(rank * np.int64(len(words) + 2) + behind, return_inverse=True)
-            rank = rank.astype(np.int32)
+            key = rank * np.int64(len(rank) + 2)
+            there = np.flatnonzero(self.left > width)
+            key[there] += rank[there + width] + 1
+            del there
+            rank = _dense_rank(key)
             self.levels.append(rank)
             width *= 2
 
     def sorted(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """places in the order of their suffixes, and the words that each has in common with the one before it (up to the depth told apart)."""
-        order = places[np.argsort(self.levels[-1][places], kind="stable")]
-        a, b = order[:-1].copy(), order[1:].copy()
-        common = np.zeros(len(a), np.int64)
+        order = places[np.argsort(self.levels[-1][places], kind="stable")].astype(np.int32)
+        most = np.minimum(self.left[order[:-1]], self.left[order[1:]])
+        common = np.zeros(len(most), np.int32)
         for k in range(len(self.levels) - 1, -1, -1):
-            inside = (common < self.left[order[:-1]]) & (common < self.left[order[1:]])
-            x, y = np.where(inside, a, 0), np.where(inside, b, 0)
+            inside = np.flatnonzero(common < most)
+            at = common[inside]
             # a level's numbers are equal too where both stretches end there, so the length is held down below
-            same = inside & (self.levels[k][x] == self.levels[k][y])
-            common += np.where(same, 1 << k, 0)
-            a, b = a + np.where(same, 1 << k, 0), b + np.where(same, 1 << k, 0)
-        common = np.minimum(common, np.minimum(self.left[order[:-1]], self.left[order[1:]]))
-        return order, np.append(0, common)[: len(order)]
+            same = self.levels[k][order[:-1][inside] + at] == self.levels[k][order[1:][inside] + at]
+            common[inside[same]] += 1 << k
+        common = np.minimum(common, most)
+        return order, np.append(np.int32(0), common)[: len(order)]
 
 
 def _repeats(t: pa.Table, window: int) -> pa.Table:
@@ -275,8 +295,7 @@ def _repeats(t: pa.Table, window: int) -> pa.Table:
     done: list[list[np.ndarray]] = [[], [], [], []]
     todo: list[list[np.ndarray]] = [[], [], [], []]
     single: list[list[np.ndarray]] = [[], [], [], [], []]
-    words: list[bytes] = []
-    for kind, i, g, s, c, text, w, v in zip(*(t.column(n).to_pylist() for n in ("kind", "ids", "tags", "starts", "counts", "words", "w", "v")), strict=True):
+    for kind, i, g, s, c, w, v in zip(*(t.column(n).to_pylist() for n in ("kind", "ids", "tags", "starts", "counts", "w", "v")), strict=True):
         row = [unpack_longs(i), np.frombuffer(g, "<i8"), np.frombuffer(s, "<u4").astype(np.int64)]
         if kind == SINGLE:
             row += [np.frombuffer(w, "<u8"), np.frombuffer(v, "<u8")]
@@ -284,30 +303,31 @@ def _repeats(t: pa.Table, window: int) -> pa.Table:
             row.append(np.frombuffer(c, "<u4").astype(np.int64))
         for to, x in zip((done, todo, single)[kind], row, strict=True):
             to.append(x)
-        words += text.split()
+    words = _numbered((text.as_py() or b"").split() for text in t.column("words"))
     if single[0]:
         ids, tags, starts, w, v = (np.concatenate(x) for x in single)
         gone = _later(ids, w, v)
         for to, x in zip(done, _spans(ids[gone], tags[gone], starts[gone]), strict=True):
             to.append(x)
-    if words:
+    if len(words):
         ids, tags, starts, counts = (np.concatenate(x) for x in todo)
-        run = np.repeat(np.arange(len(counts)), counts)
-        within = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
+        run = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        within = np.arange(len(run), dtype=np.int32) - np.repeat((np.cumsum(counts) - counts).astype(np.int32), counts)
         lengths = counts + window - 1
-        order, common = Subtree(words, lengths, window).sorted((np.cumsum(lengths) - lengths)[run] + within)
+        first = (np.cumsum(lengths) - lengths).astype(np.int32)
+        order, common = Subtree(words, lengths, window).sorted(first[run] + within)
         # a node of this depth or more: neighbours that have a window in common
         node = np.flatnonzero(common < window)
-        stretch = np.repeat(np.arange(len(lengths)), lengths)[order]
-        least = np.repeat(np.minimum.reduceat(ids[stretch], node), np.diff(np.append(node, len(order))))
+        holder = ids[np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[order]]
+        later = holder > np.repeat(np.minimum.reduceat(holder, node), np.diff(np.append(node, len(order))))
         gone = np.zeros(len(words), bool)
-        gone[order] = ids[stretch] > least
-        gone = gone[(np.cumsum(lengths) - lengths)[run] + within]
+        gone[order] = later
+        gone = gone[first[run] + within]
         run, start = run[gone], (starts[run] + within)[gone]
         first = _heads(run, start - np.arange(len(start)))
         for to, x in zip(done, (ids[run][first], tags[run][first], start[first], np.diff(np.append(first, len(start)))), strict=True):
             to.append(x)
-        del words, order, common, run, within, stretch
+        del words, order, common, run, within, holder, later, gone
         trim()
     return flat(GONE, *(np.concatenate(x) if x else np.empty(0, np.int64) for x in done))
 

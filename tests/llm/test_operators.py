@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import unicodedata
 import zlib
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("alertloom.llm")
 from alertloom.llm import chat, fingerprints, lines, packing, pieces, similar, substrings, topk, toxicity, urls
-from alertloom.llm.common import components, ship
+from alertloom.llm.common import components, packed_batch, ship
 
 P = pytest.importorskip("public_tokenizers")
 BYTES = P.path("byte_bpe_50k.json")
@@ -514,6 +515,26 @@ def test_subtree_orders_suffixes():
         assert n == next((k for k, (u, v) in enumerate(zip(x, y, strict=False)) if u != v), min(len(x), len(y)))
 
 
+def test_part_of_suffixes_is_held_in_little_memory():
+    """A part's words are held once each, and its numbers in few copies: a worker's peak stands beside the JVM's."""
+    rng = np.random.default_rng(3)
+    n, window = 2000, 50
+    body = np.array([b"w%d" % k for k in range(20_000)], object)[rng.integers(0, 20_000, (n, 100))]
+    body[1::2, 20:80] = body[::2, 20:80]  # each second stretch holds 60 words of the one before it
+    text = [b" ".join(x) for x in body.tolist()]
+    i8 = lambda x: np.array([x], "<i8").tobytes()
+    u4 = lambda x: np.array([x], "<u4").tobytes()
+    rows = [(0, substrings.STRETCH, substrings.pack_longs(np.array([k])), i8(7 * k), u4(5), u4(100 - window + 1), t, b"", b"") for k, t in enumerate(text)]
+    part = pa.Table.from_batches([packed_batch(rows, substrings.NODES)])
+    tracemalloc.start()
+    got = substrings._repeats(part, window)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = [{"_id": k, "tag": 7 * k, "start": 25, "len": 11} for k in range(1, n, 2)]
+    assert sorted(got.to_pylist(), key=lambda r: r["_id"]) == want
+    assert peak < 18 * sum(map(len, text))
+
+
 def test_substring_stage_keeps_columns(docs, empty):
     out = substrings.dedup_substrings(docs, 13)
     assert out.columns == docs.columns and out.count() == len(DOCS)
