@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -66,6 +67,11 @@ def with_at(array: Column, index: Column, value: Column) -> Column:
     return F.transform(array, lambda x, i: F.when(i == index, value).otherwise(x))
 
 
+def with_value(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value made once however often then names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def capitalised(word: Column) -> Column:
     return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 2**31 - 1)))
 
@@ -157,11 +163,12 @@ def closure(code: Column, decision: Column) -> Column:
 def overlap(client: Column, hit: Column) -> Column:
     """Words of the hit that the client has too, each once, in the hit's order and casing; the whole hit if there are none."""
     word = F.lit(r"(?U)\b\w+\b")
-    mine = F.regexp_extract_all(F.lower(client), word, F.lit(0))
-    found = F.filter(F.regexp_extract_all(hit, word, F.lit(0)), lambda t: F.array_contains(mine, F.lower(t)))
-    lower = F.transform(found, F.lower)
-    once = F.filter(found, lambda t, i: F.array_position(lower, F.lower(t)) == i + 1)
-    return F.when(F.size(once) > 0, joined(once)).otherwise(hit)
+
+    def shared(mine: Column, theirs: Column, lower: Column) -> Column:
+        return F.filter(theirs, lambda _, i: F.array_contains(mine, F.get(lower, i)) & (F.array_position(lower, F.get(lower, i)) == i + 1))
+
+    found = with_value(F.regexp_extract_all(F.lower(client), word, F.lit(0)), lambda mine: with_value(F.regexp_extract_all(hit, word, F.lit(0)), lambda theirs: with_value(F.transform(theirs, F.lower), lambda lower: shared(mine, theirs, lower))))
+    return with_value(found, lambda once: F.when(F.size(once) > 0, joined(once)).otherwise(hit))
 
 
 def label_of(code: Column) -> Column:

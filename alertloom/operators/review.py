@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab as v
-from ..functions.strings import closure, decision_of, label_of, overlap, says, trimmed_lower, words
+from ..functions.strings import closure, decision_of, label_of, overlap, says, trimmed_lower
 from .mutate import is_gender_pair
 
 #: The model's fields, with the names they may also come under.
@@ -17,28 +17,38 @@ CODE_NAMES = ["disposition_code", "key_reason"]
 CLOSURE_REACH = 100
 
 
-def unfenced(content: Column) -> Column:
-    text = F.regexp_replace(content, r"(?U)^\s+|\s+$", "")
+BLANK_ENDS = r"(?U)^\s+|\s+$"
+
+
+def unfenced(text: Column) -> Column:
+    """The content of a fenced answer; text has no blanks at its ends."""
     inner = F.regexp_replace(F.regexp_replace(text, r"(?iU)^```(?:json)?\s*", ""), r"(?U)\s*```$", "")
     return F.when(text.startswith("```"), inner).otherwise(text)
 
 
-def parsed(content: Column) -> Column:
+def parsed(text: Column) -> Column:
     """The answer as a variant: the text itself, else what stands between its first and last brace; null if neither is JSON."""
-    text = unfenced(content)
-    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.regexp_extract(text, r"(?s)(\{.*\})", 1)))
+    braced = F.when(text.contains("{"), F.regexp_extract(text, r"(?s)(\{.*\})", 1))
+    return F.coalesce(F.try_parse_json(text), F.try_parse_json(braced))
+
+
+def _first_of(names: list[str]) -> Column:
+    return F.coalesce(*[F.when(F.col(f"_f_{n}") != "", F.col(f"_f_{n}")) for n in names])
+
+
+def cleaned_code(raw: Column) -> Column:
+    """A code as written, in capitals, with underscores for blanks and hyphens."""
+    code = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(raw, F.lit("")), BLANK_ENDS, ""), r"(?U)[\s\-]+", "_"), r"^[_.:]+|[_.:]+$", "")
+    return F.upper(code)
 
 
-def _first_of(data: Column, names: list[str]) -> Column:
-    return F.coalesce(*[F.nullif(F.try_variant_get(data, f"$.{n}", "string"), F.lit("")) for n in names])
+def prefixed(code: Column) -> Column:
+    return F.when((code != "") & ~code.startswith("DISP_"), says("DISP_", code)).otherwise(code)
 
 
-def normalised_code(raw: Column, fallback: Column, decision: Column) -> Column:
+def vocabulary_code(code: Column, fallback: Column, decision: Column) -> Column:
     """A vocabulary code: itself, else the first that contains it or is contained (8 characters or more), else the fallback, else by decision."""
-    code = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(raw, F.lit("")), r"(?U)^\s+|\s+$", ""), r"(?U)[\s\-]+", "_"), r"^[_.:]+|[_.:]+$", "")
-    code = F.upper(code)
-    code = F.when((code != "") & ~code.startswith("DISP_"), says("DISP_", code)).otherwise(code)
-    near = F.get(F.filter(words(v.CODES), lambda k: code.contains(k) | k.contains(code)), F.lit(0))
+    near = F.coalesce(*[F.when(code.contains(k) | F.lit(k).contains(code), k) for k in v.CODES])
     return F.when(code.isin(v.CODES), code).otherwise(F.coalesce(F.when(F.length(code) >= 8, near), _else(fallback, decision)))
 
 
@@ -46,47 +56,53 @@ def _else(fallback: Column, decision: Column) -> Column:
     return F.when(fallback.isin(v.CODES), fallback).when(decision == v.ESCALATE, "DISP_MINOR_TYPO").otherwise("DISP_SURNAME_CONFLICT")
 
 
-def closed(thinking: Column, code: Column, decision: Column) -> Column:
-    """thinking with its closing line: as it is if it ends so, else repaired."""
-    end, text = closure(code, decision), F.regexp_replace(thinking, r"(?U)^\s+|\s+$", "")
-    head = F.regexp_extract(text, r"(?s)^(.*)Therefore:", 1)
-    late = text.contains("Therefore:") & (F.length(head) >= F.length(text) - CLOSURE_REACH)
-    body = F.when(late, F.regexp_replace(head, r"(?U)\s+$", "")).otherwise(text)
-    body = F.when((body != "") & ~body.endswith("."), says(body, ".")).otherwise(body)
-    return F.when(text.endswith(end), thinking).otherwise(F.trim(says(body, " ", end)))
+def _closed(df: DataFrame) -> DataFrame:
+    """df with _closed: _thinking with its closing line, as it is if it ends so, else repaired."""
+    text, head, body, end = (F.col(c) for c in ("_text", "_head", "_body", "_end"))
+    df = df.withColumns({"_text": F.regexp_replace("_thinking", BLANK_ENDS, ""), "_end": closure(F.col("disposition_code"), F.col("decision"))})
+    df = df.withColumn("_head", F.when(text.contains("Therefore:"), F.regexp_extract(text, r"(?s)^(.*)Therefore:", 1)))
+    late = F.length(head) >= F.length(text) - CLOSURE_REACH
+    df = df.withColumn("_body", F.when(late, F.regexp_replace(head, r"(?U)\s+$", "")).otherwise(text))
+    whole = F.when((body != "") & ~body.endswith("."), says(body, ". ", end)).otherwise(says(body, " ", end))
+    return df.withColumn("_closed", F.when(text.endswith(end), F.col("_thinking")).otherwise(F.trim(whole)))
 
 
 def normalise(df: DataFrame) -> DataFrame:
     """Rows (client_name, hit_name, content, target_decision, fallback_code, enforce_code, enforce_decision) with the normalised fields.
 
     Adds matching_text, disposition_code, thinking, decision, the tallies plausibility, decision_fixed, code_fixed (0 or more)
-    and error, which names what makes the answer unusable (then the fields are null).
+    and error, which names what makes the answer unusable (then the fields are null). What a later step names more than once is
+    a column of its own: Spark makes such a column once a row, but an expression as often as it is named, in a lambda per element.
     """
-    df = df.withColumn("_data", parsed(F.col("content")))
-    df = df.withColumns({"_thinking": _first_of(F.col("_data"), THINKING_NAMES), "_said": F.lower(F.trim(F.coalesce(F.try_variant_get("_data", "$.decision", "string"), F.lit(""))))})
-    has = lambda *xs: F.exists(words(xs), lambda x: F.col("_said").contains(x))
-    df = df.withColumn("_decision", F.when(has("escalat", "true"), v.ESCALATE).when(has("disqualif", "false", "reject"), v.DISQUALIFY).otherwise(F.coalesce("target_decision", F.lit(v.ESCALATE))))
-    df = df.withColumn("_code", normalised_code(_first_of(F.col("_data"), CODE_NAMES), F.col("fallback_code"), F.col("_decision")))
-    odd = (F.col("_code") == "DISP_EXACT_NAME_MATCH") & (trimmed_lower(F.col("client_name")) != trimmed_lower(F.col("hit_name")))
-    df = df.withColumns({"plausibility": F.when(odd, 1).otherwise(0), "_code2": F.when(odd, _else(F.col("fallback_code"), F.col("_decision"))).otherwise(F.col("_code"))})
-    df = df.withColumn("_family", decision_of(F.col("_code2")))
-    pin = F.col("enforce_code").isNotNull() & (F.col("enforce_code") != F.col("_code2"))
+    others = [c for c in df.columns if c not in ("matching_text", "disposition_code", "thinking", "decision", "plausibility", "code_fixed", "decision_fixed", "error")]
+    df = df.withColumn("_text", F.regexp_replace("content", BLANK_ENDS, "")).withColumn("_text", unfenced(F.col("_text")))
+    df = df.withColumn("_data", parsed(F.col("_text")))
+    names = dict.fromkeys([*THINKING_NAMES, *CODE_NAMES, *MATCHING_NAMES, "decision"])
+    df = df.withColumns({f"_f_{n}": F.try_variant_get("_data", f"$.{n}", "string") for n in names})
+    df = df.withColumns({"_thinking": _first_of(THINKING_NAMES), "_matching": _first_of(MATCHING_NAMES), "_raw": _first_of(CODE_NAMES), "_said": F.lower(F.trim(F.coalesce("_f_decision", F.lit(""))))})
+    said = F.col("_said")
+    stated = F.when(said.contains("escalat") | said.contains("true"), v.ESCALATE).when(said.contains("disqualif") | said.contains("false") | said.contains("reject"), v.DISQUALIFY)
+    df = df.withColumns({"_decision": stated.otherwise(F.coalesce("target_decision", F.lit(v.ESCALATE))), "_code": cleaned_code(F.col("_raw"))})
+    df = df.withColumn("_code", prefixed(F.col("_code")))
+    df = df.withColumn("_code", vocabulary_code(F.col("_code"), F.col("fallback_code"), F.col("_decision")))
+    df = df.withColumn("_odd", (F.col("_code") == "DISP_EXACT_NAME_MATCH") & (trimmed_lower(F.col("client_name")) != trimmed_lower(F.col("hit_name"))))
+    df = df.withColumn("_code", F.when(F.col("_odd"), _else(F.col("fallback_code"), F.col("_decision"))).otherwise(F.col("_code")))
+    df = df.withColumn("_family", decision_of(F.col("_code")))
+    pin = F.col("enforce_code").isNotNull() & (F.col("enforce_code") != F.col("_code"))
     force = F.col("enforce_decision").isNotNull() & (F.col("enforce_decision") != F.col("_family"))
     df = df.withColumns({
-        "disposition_code": F.when(pin, F.col("enforce_code")).otherwise(F.col("_code2")),
+        "disposition_code": F.when(pin, F.col("enforce_code")).otherwise(F.col("_code")),
         "decision": F.when(force, F.col("enforce_decision")).otherwise(F.col("_family")),
+        "plausibility": F.when(F.col("_odd"), 1).otherwise(0),
         "code_fixed": F.when(pin, 1).otherwise(0),
         "decision_fixed": F.when(F.col("_family") != F.col("_decision"), 1).otherwise(0) + F.when(force, 1).otherwise(0),
+        "error": F.when(F.col("_data").isNull(), "no JSON").when(F.col("_thinking").isNull(), "no reasoning"),
     })
-    error = F.when(F.col("_data").isNull(), "no JSON").when(F.col("_thinking").isNull(), "no reasoning")
-    ok = error.isNull()
-    text = F.coalesce(_first_of(F.col("_data"), MATCHING_NAMES), overlap(F.col("client_name"), F.col("hit_name")))
-    df = df.withColumns({"matching_text": F.when(ok, text), "thinking": F.when(ok, closed(F.col("_thinking"), F.col("disposition_code"), F.col("decision"))), "error": error})
-    for c in ("disposition_code", "decision"):
-        df = df.withColumn(c, F.when(ok, F.col(c)))
-    for c in ("plausibility", "code_fixed", "decision_fixed"):
-        df = df.withColumn(c, F.when(ok, F.col(c)).otherwise(0))
-    return df.drop("_data", "_thinking", "_said", "_decision", "_code", "_code2", "_family")
+    df, ok = _closed(df), F.col("error").isNull()
+    text = F.coalesce("_matching", overlap(F.col("client_name"), F.col("hit_name")))
+    made = {"matching_text": text, "disposition_code": F.col("disposition_code"), "thinking": F.col("_closed"), "decision": F.col("decision")}
+    counts = [F.when(ok, F.col(c)).otherwise(0).alias(c) for c in ("plausibility", "code_fixed", "decision_fixed")]
+    return df.select(*others, *[F.when(ok, c).alias(n) for n, c in made.items()], *counts, "error")
 
 
 def accepted(strict: bool = True) -> Column:

@@ -18,12 +18,19 @@ from .sources import names as src
 from .sources.scratch import cut, scratch_dir
 
 
-def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(k, client_name): a name for each customer, as a pure function of its key."""
-    k = F.col("c_custkey")
+def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"))
+
+
+def name_of(k: Column) -> Column:
     at = lambda xs, i: F.get(s.words(xs), (i % len(xs)).cast("int"))
     mid = F.when(k % 12 == 0, F.concat(at(v.ALPHABET, F.floor(k / 12)), F.lit(". "))).when(k % 3 == 0, F.concat(at(MIDDLE, F.floor(k / 3)), F.lit(" "))).otherwise("")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("k"), F.concat(at(GIVEN, k), F.lit(" "), mid, at(SURNAME, 7 * k + 3)).alias("client_name"))
+    return F.concat(at(GIVEN, k), F.lit(" "), mid, at(SURNAME, 7 * k + 3))
+
+
+def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, client_name): a name for each customer, as a pure function of its key."""
+    return keys(spark, sf_dir).select("k", name_of(F.col("k")).alias("client_name"))
 
 
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +50,15 @@ def _on(make: Callable[[DataFrame], DataFrame], source=pool):
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(k, client_name, hit_name, disposition_code, decision): labelled pairs, some of them wrongly, for audits."""
-    rows = pool(spark, sf_dir)
-    nxt = rows.select((F.col("k") - 1).alias("k"), F.col("client_name").alias("other"))
+    """(k, client_name, hit_name, disposition_code, decision): labelled pairs, some of them wrongly, for audits.
+
+    A pair costs far more than its key, so keys are dealt to all tasks, however many the file splits into, and names made after.
+    """
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = keys(spark, sf_dir).repartition(n, "k")
+    nxt = keys(spark, sf_dir).select((F.col("k") - 1).alias("k")).repartition(n, "k")
+    rows = rows.join(nxt.hint("merge"), "k").select("k", name_of(F.col("k")).alias("client_name"), name_of(F.col("k") + 1).alias("other"))
     t = s.tokens(F.col("client_name"))
-    rows = rows.join(nxt, "k")
     hit = F.when(F.col("k") % 7 == 0, F.col("client_name")).when(F.col("k") % 7 == 1, s.joined(F.concat(F.slice(t, -1, 1), s.before_last(t)))).when(F.col("k") % 7 == 2, F.concat("client_name", F.lit("e"))).when(F.col("k") % 7 == 3, F.replace("client_name", F.lit("-"), F.lit(" "))).when(F.col("k") % 7 == 4, F.concat(s.joined(s.before_last(t)), F.lit(" Osei"))).when(F.col("k") % 7 == 5, F.concat_ws(" ", t[0], s.last(t))).otherwise(F.col("other"))
     code = F.get(s.words([*v.CODES, "X"]), (F.floor(F.col("k") / 7) % 14).cast("int"))
     return rows.select("k", "client_name", hit.alias("hit_name"), code.alias("disposition_code"), F.coalesce(s.decision_of(code), F.lit(v.DISQUALIFY)).alias("decision"))
