@@ -44,3 +44,10 @@ def test_pairs_keep_their_rows(spark):
     got = {r.k: r for r in queries.pairs(spark, SMALL).collect()}
     assert set(got) == {k for k in names if k + 1 in names}
     assert all(r.client_name == names[k] and (k % 7 < 6 or r.hit_name == names[k + 1]) for k, r in got.items())
+
+
+def test_a_fallback_makes_each_step_of_its_review_once(spark, tmp_path):
+    spark.createDataFrame([("Ali Khan", "Ali Kahn", "{}", None, "DISP_MINOR_TYPO", None, None, "rule", "rule text")], f"{ANSWER}, rule_matching string, rule_thinking string").write.parquet(str(tmp_path / "t"))
+    got = review.or_fallback(spark.read.parquet(str(tmp_path / "t")))
+    assert calls(got, "regexp_replace") == 8 and calls(got, "upper") == 1 and calls(got, "regexp_extract_all") == 2
+    assert [(r.created_by, r.disposition_code, r.matching_text) for r in got.collect()] == [("rule_based", "DISP_MINOR_TYPO", "rule")]
